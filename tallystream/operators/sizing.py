@@ -1,0 +1,19 @@
+"""Broadcast only what has been measured to be small."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+BROADCAST_ROWS = 200_000
+
+
+def small_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """`df` with a broadcast hint if it has at most `max_rows` rows, else unchanged.
+
+    The check reads no more than max_rows + 1 rows. Without the hint the planner
+    joins by shuffle and AQE splits a skewed key.
+    """
+    if df.isStreaming:
+        return df
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
