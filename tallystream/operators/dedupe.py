@@ -51,6 +51,7 @@ def dedupe_window(
     keys: tuple[str, ...] = ("app_id", "event_id"),
     at: str = "published_at",
     order: tuple[str, ...] = ("sequence",),
+    recent: DataFrame | None = None,
 ) -> DataFrame:
     """Keep a message unless its key was kept less than `window` seconds before.
 
@@ -63,6 +64,9 @@ def dedupe_window(
     earlier and opens a run; within a window of its opener everything else is
     dropped. Only candidates later than that, in runs of resends longer than the
     window, depend on each other and are walked in order.
+
+    `recent` (keys, kept_at) holds keys kept earlier, one row each; it may be large,
+    so the join with it is left to the planner.
     """
     keys = list(keys)
     first = Window.partitionBy(*keys, "_second").orderBy(at, *order)
@@ -72,6 +76,13 @@ def dedupe_window(
         .where("_rank = 1")
         .drop("_rank")
     )
+    if recent is not None:
+        earlier = recent.select(*keys, F.col("kept_at").alias("_kept_at"))
+        candidates = (
+            candidates.join(earlier, keys, "left")
+            .where(F.col("_kept_at").isNull() | (F.col("_second") >= F.col("_kept_at") + window))
+            .select(*messages.columns, "_second")
+        )
     in_order = Window.partitionBy(*keys).orderBy("_second")
     up_to_here = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     opens = F.coalesce(

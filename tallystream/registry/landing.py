@@ -15,7 +15,7 @@ from tallystream.registry.loading import PLACED, RAW_TEXT
 from tallystream.session import scratch_path
 from tallystream.sources.requests import stream_events
 from tallystream.sources.stores import scan_raw
-from tallystream.streaming.dedupe import dedupe_stream
+from tallystream.streaming.dedupe import dedupe_stream, read_kept
 from tallystream.streaming.landing import dead_letters_stream, land_stream
 
 DECODABLE = "json_valid(value) and json_type(case when json_valid(value) then value end) = 'OBJECT'"
@@ -156,19 +156,14 @@ def _(spark, sf):
 
 @register("dedupe_stream", DEDUPE_SQL)
 def _(spark, sf):
-    """The same rule with state carried over micro-batches that follow each other in time."""
+    """The same rule with recent keys carried over micro-batches that follow each other in time."""
     root = scratch_path(spark, "dedupe_stream")
     rows = messages(spark, sf).select("app_id", "event_id", "published_at", "sequence")
-    schema = rows.schema
-    for step, half in enumerate(("published_at < timestamp '2024-01-15'", "published_at >= timestamp '2024-01-15'")):
-        rows.where(half).write.mode("append").parquet(f"{root}/log/part={step}")
-        (
-            dedupe_stream(spark.readStream.schema(schema).parquet(f"{root}/log/part=*"))
-            .writeStream.format("parquet").option("path", f"{root}/out")
-            .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
-            .awaitTermination()
-        )
-    kept = spark.read.parquet(f"{root}/out")
+    for step, part in enumerate(("published_at < timestamp '2024-01-15'", "published_at >= timestamp '2024-01-15'")):
+        rows.where(part).write.mode("append").parquet(f"{root}/log/part={step}")
+        log = spark.readStream.schema(rows.schema).parquet(f"{root}/log/part=*")
+        dedupe_stream(log, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    kept = read_kept(spark, f"{root}/out", rows.schema)
     return kept.select("app_id", "event_id", F.unix_timestamp("published_at").alias("second"))
 
 

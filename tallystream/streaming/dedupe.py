@@ -1,65 +1,71 @@
-"""Resend removal on a stream."""
+"""Resend removal on a stream.
 
-from __future__ import annotations
+The rule needs the second at which each recent key was last kept. Rather than one
+call per key into a stateful function, every micro-batch runs the batch operator
+against that table of recent keys, so all the work stays in joins and windows.
+"""
 
-from collections.abc import Iterator
+from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.streaming import StreamingQuery
 
+from tallystream.operators.dedupe import dedupe_window
 from tallystream.schemas import DEDUP_WINDOW_SECONDS
 
-_STATE = StructType([StructField("kept_at", LongType())])
-
 
 def dedupe_stream(
     messages: DataFrame,
+    root: str,
+    checkpoint: str,
     window: int = DEDUP_WINDOW_SECONDS,
     keys: tuple[str, ...] = ("app_id", "event_id"),
     at: str = "published_at",
-    forget_after_hours: int = 24,
-) -> DataFrame:
-    """Keep a message unless its key was kept less than `window` seconds before.
+    order: tuple[str, ...] = ("sequence",),
+    remember_seconds: int | None = None,
+    every_seconds: int | None = None,
+) -> StreamingQuery:
+    """Write kept messages to root/kept/batch=<n>; recent keys live in root/recent.
 
-    Same rule and same whole-second clock as the batch form. State is one number
-    per key, forgotten a day of processing time after the key was last kept, so it
-    never holds all keys ever seen; a job that lags by more than that may let a
-    resend through, but no message is dropped for being late. A key's messages of
-    one micro-batch pass through in chunks, and the source's per-trigger limit
-    bounds how many there can be.
+    A message is kept unless its key was kept less than `window` seconds before it
+    or after it. Keys are remembered for `remember_seconds` (twice the window) of
+    message time, so the table holds recent keys, not all keys ever seen. Two slots
+    take turns: batch n reads what n - 1 wrote and overwrites what n - 2 wrote, so a
+    micro-batch that fails half-way is simply run again.
     """
-    timed = messages.withColumn(at, F.coalesce(F.col(at), F.current_timestamp())).withColumn(
-        "_second", F.unix_timestamp(at)
-    )
-    forget_ms = forget_after_hours * 3_600_000
+    remember = remember_seconds or 2 * window
 
-    def keep(key, chunks: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        last = state.get[0] if state.exists else None
-        # First message of each second over all chunks, then one walk in time order.
-        firsts = None
-        for chunk in chunks:
-            if last is not None:
-                chunk = chunk[chunk["_second"] >= last + window]
-            firsts = chunk if firsts is None else pd.concat([firsts, chunk])
-            firsts = firsts.sort_values(at, kind="stable").drop_duplicates("_second")
-        if firsts is None or firsts.empty:
-            return
-        seconds = firsts["_second"].to_numpy()
-        picks, position = [], 0
-        while position < len(seconds):
-            picks.append(position)
-            last = int(seconds[position])
-            position = int(seconds.searchsorted(last + window))
-        state.update((last,))
-        state.setTimeoutDuration(forget_ms)
-        yield firsts.iloc[picks].drop(columns="_second")
+    def run(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        timed = batch.withColumn(at, F.coalesce(F.col(at), F.current_timestamp()))
+        schema = ", ".join(f"{k} string" for k in keys) + ", kept_at bigint"
+        recent = (
+            spark.read.schema(schema).parquet(f"{root}/recent/slot={(number - 1) % 2}") if number else None
+        )
+        kept_path = f"{root}/kept/batch={number}"
+        dedupe_window(timed, window, keys, at, order, recent).write.mode("overwrite").parquet(kept_path)
+        kept = spark.read.schema(batch.schema).parquet(kept_path)
+        seen = kept.select(*keys, F.unix_timestamp(at).alias("kept_at"))
+        if recent is not None:
+            seen = seen.unionByName(recent)
+        newest = seen.agg(F.max("kept_at")).first()[0] or 0
+        (
+            seen.where(F.col("kept_at") > newest - remember)
+            .groupBy(*keys)
+            .agg(F.max("kept_at").alias("kept_at"))
+            .write.mode("overwrite")
+            .parquet(f"{root}/recent/slot={number % 2}")
+        )
 
-    return timed.groupBy(*keys).applyInPandasWithState(
-        keep, messages.schema, _STATE, "append", GroupStateTimeout.ProcessingTimeTimeout
+    trigger = {"availableNow": True} if every_seconds is None else {"processingTime": f"{every_seconds} seconds"}
+    return (
+        messages.writeStream.foreachBatch(run)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
     )
+
+
+def read_kept(spark, root: str, schema) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{root}/kept/batch=*")
