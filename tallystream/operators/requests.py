@@ -29,38 +29,43 @@ NUMBER_KINDS = "^(BIGINT|DOUBLE|FLOAT|DECIMAL)"
 # --- end of fixed values ------------------------------------------------------------
 
 
-def _scalar(variant: Column, path: str) -> Column:
-    return F.try_variant_get(variant, path, "string")
+def _let(value: Column, body) -> Column:
+    """Evaluate `value` once and hand it to `body`."""
+    return F.transform(F.array(value), body)[0]
 
 
-def _absent(variant: Column, path: str) -> Column:
-    k = kind(variant, path)
-    return k.isNull() | (k == "VOID")
+def _not_text(k: Column, value: Column) -> Column:
+    return k != "STRING"
 
 
-def _not_text(variant: Column, path: str) -> Column:
-    return F.coalesce(kind(variant, path) != "STRING", F.lit(True))
+def _not_object(k: Column, value: Column) -> Column:
+    return ~k.startswith("OBJECT")
 
 
-def _not_time(variant: Column, path: str) -> Column:
-    k = kind(variant, path)
-    right_kind = (k == "STRING") | k.rlike(NUMBER_KINDS)
-    return ~F.coalesce(right_kind & client_time_ok(_scalar(variant, path)), F.lit(False))
+def _not_time(k: Column, value: Column) -> Column:
+    return ~(((k == "STRING") | k.rlike(NUMBER_KINDS)) & client_time_ok(value))
 
 
-def _not_flag(variant: Column, path: str) -> Column:
-    k = kind(variant, path)
-    word = F.lower(_scalar(variant, path))
-    ok = (
+def _not_flag(k: Column, value: Column) -> Column:
+    word = F.lower(value)
+    return ~(
         (k == "BOOLEAN")
         | ((k == "STRING") & word.isin(TRUE_WORDS + FALSE_WORDS))
-        | (k.rlike(NUMBER_KINDS) & word.try_cast("double").isin(0.0, 1.0))
+        | (k.rlike(NUMBER_KINDS) & F.coalesce(word.try_cast("double").isin(0.0, 1.0), F.lit(False)))
     )
-    return ~F.coalesce(ok, F.lit(False))
 
 
-def _not_object(variant: Column, path: str) -> Column:
-    return ~F.coalesce(kind(variant, path).startswith("OBJECT"), F.lit(False))
+def _members() -> list[tuple[str, object, bool, bool]]:
+    """(path, check, must be present, may be null) in the order they are judged."""
+    rules = [(name, _not_text, True, False) for name in REQUIRED_TEXT]
+    rules += [("event_timestamp", _not_time, True, False)]
+    rules += [("environment", _not_text, False, True), ("received_at", _not_time, False, True)]
+    rules += [(name, _not_object, False, True) for name in CONTEXTS]
+    for context, members in CONTEXTS.items():
+        for member in members:
+            check = _not_flag if context == "consent" else _not_time if member == "received_at" else _not_text
+            rules.append((f"{context}.{member}", check, False, True))
+    return rules + [(name, _not_object, False, False) for name in OPEN_MAPS]
 
 
 def envelope_problem(event_json: Column) -> Column:
@@ -71,30 +76,19 @@ def envelope_problem(event_json: Column) -> Column:
     for them; contexts may be null, the two open maps may only be left out.
     Unknown fields are ignored.
     """
-    v = F.try_parse_json(event_json)
-    verdict = F.when(_not_object(v, "$"), "event")
-    for name in REQUIRED_TEXT:
-        verdict = verdict.when(_not_text(v, f"$.{name}"), name)
-    verdict = verdict.when(_not_time(v, "$.event_timestamp"), "event_timestamp")
-    optional = [("environment", _not_text), ("received_at", _not_time)]
-    optional += [(name, _not_object) for name in CONTEXTS]
-    for name, wrong in optional:
-        verdict = verdict.when(~_absent(v, f"$.{name}") & wrong(v, f"$.{name}"), name)
-    for context, members in CONTEXTS.items():
-        for member in members:
-            path = f"$.{context}.{member}"
-            if context == "consent":
-                wrong = _not_flag
-            elif member == "received_at":
-                wrong = _not_time
-            else:
-                wrong = _not_text
-            verdict = verdict.when(~_absent(v, path) & wrong(v, path), f"{context}.{member}")
-    for name in OPEN_MAPS:
-        verdict = verdict.when(
-            kind(v, f"$.{name}").isNotNull() & _not_object(v, f"$.{name}"), name
-        )
-    return verdict
+
+    def judge(v: Column) -> Column:
+        verdict = F.when(~F.coalesce(kind(v).startswith("OBJECT"), F.lit(False)), "event")
+        for path, check, required, nullable in _members():
+            k = kind(v, f"$.{path}")
+            wrong = F.coalesce(check(k, F.try_variant_get(v, f"$.{path}", "string")), F.lit(True))
+            if not required:
+                excused = k.isNull() | (k == "VOID") if nullable else k.isNull()
+                wrong = ~excused & wrong
+            verdict = verdict.when(wrong, path)
+        return verdict
+
+    return _let(F.try_parse_json(event_json), judge)
 
 
 def auth_reason(api_key: Column, allowed_app: Column, app_id: Column) -> Column:
@@ -114,16 +108,17 @@ def split_events(requests: DataFrame, max_bytes: int = MAX_REQUEST_BYTES) -> Dat
     body = F.when(F.octet_length("body") <= max_bytes, F.col("body"))
     root = F.try_parse_json(body)
     listed = kind(root, "$.events")
+    readable = F.coalesce(
+        kind(root).startswith("OBJECT") & (listed.isNull() | listed.startswith("ARRAY")), F.lit(False)
+    )
+    events = F.when(listed.isNull(), F.array().cast("array<string>")).otherwise(
+        F.from_json(body, "events array<string>")["events"]
+    )
     return requests.withColumns(
         {
             "request_bytes": F.octet_length("body"),
-            "events": F.when(listed.isNull(), F.array().cast("array<string>")).otherwise(
-                F.from_json(body, "events array<string>")["events"]
-            ),
-            "readable": F.coalesce(
-                kind(root).startswith("OBJECT") & (listed.isNull() | listed.startswith("ARRAY")),
-                F.lit(False),
-            ),
+            "events": F.when(readable, events),
+            "readable": readable,
         }
     )
 

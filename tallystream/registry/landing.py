@@ -185,7 +185,7 @@ def _(spark, sf):
 @register(
     "compact_json",
     r"""select 'd' || cast(doc_id as varchar) as id,
-    '{"text":"' || list_aggregate(list_transform(regexp_extract_all(text, '(?s).'), c -> case
+    '{"text":"' || list_aggregate(list_transform(regexp_extract_all(text, '(?s).'), lambda c: case
       when c = '"' then '\"' when c = '\' then '\\' when unicode(c) = 10 then '\n' when unicode(c) = 13 then '\r'
       when unicode(c) = 9 then '\t' when unicode(c) = 8 then '\b' when unicode(c) = 12 then '\f'
       when unicode(c) between 32 and 126 then c
