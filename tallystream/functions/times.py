@@ -91,49 +91,51 @@ def iso_offset_text(instant: Column) -> Column:
     )
 
 
-# --- fixed values: parts of a client time ---------------------------------------
+# --- fixed values: times a client may send, and steps to their one spelling --------
 CLIENT_TIME = (
-    r"^(\d{4}-\d{2}-\d{2})"
-    r"(?:[Tt _](\d{2}:\d{2})(:\d{2})?(?:[.,](\d{1,9}))?\s?([Zz]|[+-]\d{2}:?\d{2})?)?$"
+    r"^\d{4}-\d{2}-\d{2}"
+    r"([Tt _]\d{2}:\d{2}(:\d{2}([.,]\d{1,9})?)?\s?([Zz]|[+-]\d{2}:?\d{2})?)?$"
 )
+CLIENT_TIME_STEPS = [
+    (r"^(.{10})$", "$1T00:00:00"),  # a date is its midnight
+    (r"^(.{10}).", "$1T"),  # one separator
+    (r"\s", ""),
+    (r"^(.{16})(?!:)", "$1:00"),  # seconds always
+    (r"\.(\d+)", ".$1000000"),  # six fraction digits ...
+    (r"\.(\d{6})\d*", ".$1"),
+    (r"\.000000", ""),  # ... or none
+    (r"([+-]\d{2})(\d{2})$", "$1:$2"),
+    (r"[+-]00:00$", "Z"),
+]
 CLIENT_EPOCH = r"^[+-]?\d+(\.\d*)?$"
 # Numbers beyond this many seconds are milliseconds.
 EPOCH_MILLIS_FROM = 20_000_000_000
+EPOCH_RANGE = (-62_135_596_800, 253_402_300_799)
 # --- end of fixed values ----------------------------------------------------------
 
 
 def _client_epoch(text: Column) -> Column:
-    number = F.when(text.rlike(CLIENT_EPOCH), text.try_cast("decimal(30,9)"))
+    number = text.try_cast("decimal(30,9)")
     seconds = F.when(F.abs(number) > EPOCH_MILLIS_FROM, number / 1000).otherwise(number)
     return F.when(
-        seconds.between(-62_135_596_800, 253_402_300_799),
+        text.rlike(CLIENT_EPOCH) & seconds.between(*EPOCH_RANGE),
         F.timestamp_micros((seconds * 1_000_000).try_cast("bigint")),
     )
 
 
+def _client_spelling(text: Column) -> Column:
+    spelled = F.translate(F.upper(text), ",", ".")
+    for pattern, replacement in CLIENT_TIME_STEPS:
+        spelled = F.regexp_replace(spelled, pattern, replacement)
+    return spelled
+
+
 def client_time_ok(text: Column) -> Column:
     """True when a client may send this text (or number) as a time."""
     t = F.trim(text)
-    stamp = F.when(
-        t.rlike(CLIENT_TIME), _client_time_canonical(t).try_cast("timestamp")
-    )
-    return F.coalesce(stamp, _client_epoch(t)).isNotNull()
-
-
-def _client_time_canonical(t: Column) -> Column:
-    part = lambda i: F.regexp_extract(t, CLIENT_TIME, i)
-    micros = F.rpad(F.substring(part(4), 1, 6), 6, "0")
-    zone = F.upper(part(5))
-    return F.concat(
-        part(1),
-        F.lit("T"),
-        F.when(part(2) == "", "00:00").otherwise(part(2)),
-        F.when(part(3) == "", ":00").otherwise(part(3)),
-        F.when((part(4) == "") | (micros == "000000"), "").otherwise(F.concat(F.lit("."), micros)),
-        F.when(zone.isin("Z", "+00:00", "+0000", "-00:00", "-0000"), "Z")
-        .when(zone.rlike(r"^[+-]\d{4}$"), F.regexp_replace(zone, r"(\d{2})$", ":$1"))
-        .otherwise(zone),
-    )
+    return F.when(
+        t.rlike(CLIENT_TIME), _client_spelling(t).try_cast("timestamp").isNotNull()
+    ).otherwise(_client_epoch(t).isNotNull())
 
 
 def client_time_text(text: Column) -> Column:
@@ -143,7 +145,6 @@ def client_time_text(text: Column) -> Column:
     as no zone, epoch numbers written as UTC.
     """
     t = F.trim(text)
-    epoch = _client_epoch(t)
-    return F.when(t.rlike(CLIENT_TIME), _client_time_canonical(t)).when(
-        epoch.isNotNull(), F.regexp_replace(iso_offset_text(epoch), r"\+00:00$", "Z")
+    return F.when(t.rlike(CLIENT_TIME), _client_spelling(t)).when(
+        t.rlike(CLIENT_EPOCH), F.regexp_replace(iso_offset_text(_client_epoch(t)), r"\+00:00$", "Z")
     )

@@ -6,14 +6,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystream.functions.identity import ip_hash, message_id, route_subject
-from tallystream.functions.json_text import kind
 from tallystream.functions.network import client_ip
 from tallystream.functions.times import client_time_text, iso_offset_text
 from tallystream.operators.geo import with_country
 from tallystream.operators.requests import FALSE_WORDS, TRUE_WORDS, explode_events
-from tallystream.schemas import CONTEXTS
+from tallystream.schemas import CONTEXTS, OPEN_MAPS
 
-KEEP_NULLS = {"ignoreNullFields": "false"}
+# One read of an event; the open maps and all scalars stay text.
+_EVENT = ", ".join(
+    [f"{name} string" for name in ("event_id", "app_id", "environment", "event_name")]
+    + [f"{name} string" for name in ("event_timestamp", "received_at", *OPEN_MAPS)]
+    + [f"{name} struct<{', '.join(f'{m}: string' for m in members)}>" for name, members in CONTEXTS.items()]
+)
 
 
 def with_client(requests: DataFrame, salt: str) -> DataFrame:
@@ -23,75 +27,65 @@ def with_client(requests: DataFrame, salt: str) -> DataFrame:
     ).withColumn("client_ip_hash", F.when(F.col("client_ip") != "", ip_hash(F.col("client_ip"), salt)))
 
 
-def _text(value: Column) -> Column:
-    """A JSON string literal (or null) for one text column."""
-    member = F.to_json(F.struct(value.alias("v")), KEEP_NULLS)
-    return F.substr(member, F.lit(6), F.length(member) - 6)
+def _json(**members: Column) -> Column:
+    """An object with all its members, absent ones null."""
+    return F.to_json(
+        F.struct(*[value.alias(name) for name, value in members.items()]), {"ignoreNullFields": "false"}
+    )
 
 
-def _object(*members: tuple[str, Column]) -> Column:
-    """JSON object text from (name, JSON text) pairs; a NULL member is left out."""
-    parts = [F.concat(F.lit(f'"{name}":'), value) for name, value in members]
-    return F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}"))
+def _extended(json: Column, *members: tuple[str, Column]) -> Column:
+    """`json` with (name, JSON text) members added at its end; NULL ones are left out."""
+    added = [F.coalesce(F.concat(F.lit(f',"{name}":'), value), F.lit("")) for name, value in members]
+    return F.concat(F.substr(json, F.lit(1), F.length(json) - 1), *added, F.lit("}"))
 
 
-def _flag(event: Column, path: str) -> Column:
-    word = F.lower(F.get_json_object(event, path))
-    return F.when(word.isin(TRUE_WORDS) | (word.try_cast("double") == 1.0), "true").when(
-        word.isin(FALSE_WORDS) | (word.try_cast("double") == 0.0), "false"
+def _flag(text: Column) -> Column:
+    word, number = F.lower(text), text.try_cast("double")
+    return F.when(word.isin(TRUE_WORDS) | (number == 1.0), True).when(
+        word.isin(FALSE_WORDS) | (number == 0.0), False
     )
 
 
-def _context(event: Column, name: str) -> Column:
-    """A context with all its declared members, absent ones null; NULL if the client sent none."""
-    members = []
-    for member in CONTEXTS[name]:
-        path = f"$.{name}.{member}"
-        if name == "consent":
-            value = F.coalesce(_flag(event, path), F.lit("null"))
-        else:
-            found = F.get_json_object(event, path)
-            value = _text(client_time_text(found) if member == "received_at" else found)
-        members.append((member, value))
-    return F.when(F.get_json_object(event, f"$.{name}").isNotNull(), _object(*members))
-
-
-def geo_json(client_geo: Column, name: Column, code: Column, event: Column) -> Column:
+def geo_json(client: Column, name: Column, code: Column) -> Column:
     """The lookup overrides country and country_code and nothing else.
 
-    Without a client geo the result holds only what the lookup found; without a
-    lookup result the client geo stays as it is.
+    Without a client geo the result holds only what the lookup found; with neither
+    it is NULL.
     """
-    found = _object(
-        ("country", F.when(name.isNotNull(), _text(name))),
-        ("country_code", F.when(code.isNotNull(), _text(code))),
-    )
-    get = lambda member: F.get_json_object(event, f"$.geo.{member}")
-    merged = _object(
-        ("country", _text(F.coalesce(name, get("country")))),
-        ("country_code", _text(F.coalesce(code, get("country_code")))),
-        ("city", _text(get("city"))),
-        ("region", _text(get("region"))),
-        ("timezone", _text(get("timezone"))),
-    )
-    located = name.isNotNull() | code.isNotNull()
-    return F.when(client_geo.isNotNull(), F.when(located, merged).otherwise(client_geo)).when(
-        located, found
+    merged = _json(
+        country=F.coalesce(name, client["country"]),
+        country_code=F.coalesce(code, client["country_code"]),
+        city=client["city"],
+        region=client["region"],
+        timezone=client["timezone"],
     )
+    found = F.to_json(F.struct(name.alias("country"), code.alias("country_code")))
+    return F.when(client.isNotNull(), merged).when(name.isNotNull() | code.isNotNull(), found)
 
 
-def ingest_json(client_ingest: Column, store_raw_ip: bool = False) -> Column:
+def ingest_json(client: Column, store_raw_ip: bool = False) -> Column:
     """Server-side ingest facts, used only when the client sent no ingest object at all."""
-    known_ip = F.col("client_ip") != ""
-    members = [
-        ("received_at", _text(iso_offset_text(F.col("received_at")))),
-        ("request_id", _text(F.col("request_id"))),
-        ("user_agent", _text(F.col("user_agent"))),
-        ("ip_hash", F.when(known_ip, _text(F.col("client_ip_hash")))),
-    ]
+    sent = _json(
+        **{
+            m: client_time_text(client[m]) if m == "received_at" else client[m]
+            for m in CONTEXTS["ingest"]
+        }
+    )
+    # A hash and a checked address need no JSON escaping.
+    quoted = lambda text: F.concat(F.lit('"'), text, F.lit('"'))
+    address = [("ip_hash", quoted(F.col("client_ip_hash")))]
     if store_raw_ip:
-        members.append(("ip", F.when(known_ip, _text(F.col("client_ip")))))
-    return F.coalesce(client_ingest, _object(*members))
+        address.append(("ip", quoted(F.nullif(F.col("client_ip"), F.lit("")))))
+    server = _extended(
+        _json(
+            received_at=iso_offset_text(F.col("received_at")),
+            request_id=F.col("request_id"),
+            user_agent=F.col("user_agent"),
+        ),
+        *address,
+    )
+    return F.when(client.isNotNull(), sent).otherwise(server)
 
 
 def to_messages(
@@ -104,7 +98,7 @@ def to_messages(
     """One row per event: subject, message_id, app_id, event_id, published_at, value.
 
     Address parsing, hashing and the country lookup run once per request, before
-    the events are exploded.
+    the events are exploded; each event is parsed once.
     """
     requests = with_client(accepted, salt)
     if ranges is None:
@@ -113,38 +107,37 @@ def to_messages(
         )
     else:
         requests = with_country(requests, ranges)
-    events = explode_events(requests)
-    e = F.col("event")
-    get = lambda name: F.get_json_object(e, f"$.{name}")
-    null = F.lit("null")
-    value = _object(
-        ("event_id", _text(get("event_id"))),
-        ("app_id", _text(get("app_id"))),
-        ("environment", _text(get("environment"))),
-        ("event_name", _text(get("event_name"))),
-        ("event_timestamp", _text(client_time_text(get("event_timestamp")))),
-        ("received_at", _text(client_time_text(get("received_at")))),
-        ("user", F.coalesce(_context(e, "user"), null)),
-        ("device", F.coalesce(_context(e, "device"), null)),
-        ("traffic_source", F.coalesce(_context(e, "traffic_source"), null)),
-        ("geo", F.coalesce(
-            geo_json(_context(e, "geo"), F.col("geo_name"), F.col("geo_code"), e), null)),
-        ("event_params", F.coalesce(get("event_params"), F.lit("{}"))),
-        ("user_properties", F.coalesce(get("user_properties"), F.lit("{}"))),
-        ("consent", F.coalesce(_context(e, "consent"), null)),
-        ("ingest", ingest_json(_context(e, "ingest"), store_raw_ip)),
+    events = explode_events(requests).withColumn("e", F.from_json("event", _EVENT))
+    e = lambda path: F.col(f"e.{path}")
+    consent = F.when(
+        e("consent").isNotNull(),
+        F.struct(*[_flag(e(f"consent.{m}")).alias(m) for m in CONTEXTS["consent"]]),
+    )
+    envelope = _json(
+        event_id=e("event_id"),
+        app_id=e("app_id"),
+        environment=e("environment"),
+        event_name=e("event_name"),
+        event_timestamp=client_time_text(e("event_timestamp")),
+        received_at=client_time_text(e("received_at")),
+        user=e("user"),
+        device=e("device"),
+        traffic_source=e("traffic_source"),
+        consent=consent,
+    )
+    value = _extended(
+        envelope,
+        ("geo", F.coalesce(geo_json(e("geo"), F.col("geo_name"), F.col("geo_code")), F.lit("null"))),
+        *[(name, F.coalesce(e(name), F.lit("{}"))) for name in OPEN_MAPS],
+        ("ingest", ingest_json(e("ingest"), store_raw_ip)),
     )
     return events.select(
         "request_id",
         "position",
-        get("app_id").alias("app_id"),
-        get("event_id").alias("event_id"),
-        route_subject(prefix, get("app_id")).alias("subject"),
-        message_id(get("app_id"), get("event_id")).alias("message_id"),
+        e("app_id").alias("app_id"),
+        e("event_id").alias("event_id"),
+        route_subject(prefix, e("app_id")).alias("subject"),
+        message_id(e("app_id"), e("event_id")).alias("message_id"),
         F.col("received_at").alias("published_at"),
         value.alias("value"),
     )
-
-
-def readable_kind(value: Column) -> Column:
-    return kind(F.try_parse_json(value))

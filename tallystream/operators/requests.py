@@ -34,20 +34,21 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _not_text(k: Column, value: Column) -> Column:
+def _not_text(k: Column, v: Column, path: str) -> Column:
     return k != "STRING"
 
 
-def _not_object(k: Column, value: Column) -> Column:
+def _not_object(k: Column, v: Column, path: str) -> Column:
     return ~k.startswith("OBJECT")
 
 
-def _not_time(k: Column, value: Column) -> Column:
-    return ~(((k == "STRING") | k.rlike(NUMBER_KINDS)) & client_time_ok(value))
+def _not_time(k: Column, v: Column, path: str) -> Column:
+    text = F.try_variant_get(v, path, "string")
+    return ~(((k == "STRING") | k.rlike(NUMBER_KINDS)) & client_time_ok(text))
 
 
-def _not_flag(k: Column, value: Column) -> Column:
-    word = F.lower(value)
+def _not_flag(k: Column, v: Column, path: str) -> Column:
+    word = F.lower(F.try_variant_get(v, path, "string"))
     return ~(
         (k == "BOOLEAN")
         | ((k == "STRING") & word.isin(TRUE_WORDS + FALSE_WORDS))
@@ -81,7 +82,7 @@ def envelope_problem(event_json: Column) -> Column:
         verdict = F.when(~F.coalesce(kind(v).startswith("OBJECT"), F.lit(False)), "event")
         for path, check, required, nullable in _members():
             k = kind(v, f"$.{path}")
-            wrong = F.coalesce(check(k, F.try_variant_get(v, f"$.{path}", "string")), F.lit(True))
+            wrong = F.coalesce(check(k, v, f"$.{path}"), F.lit(True))
             if not required:
                 excused = k.isNull() | (k == "VOID") if nullable else k.isNull()
                 wrong = ~excused & wrong
