@@ -81,17 +81,18 @@ def refresh_model(
     first = start - timedelta(hours=lookback_hours)
     rows = base_model(scan_raw(spark, raw_root), first, end, fields)
     rows = rows.withColumn("received_hour", _hour_key(F.col("received_at_ts")))
-    old_folders = []
-    if _exists(spark, model_root):
-        lo, hi = f"{first:%Y-%m-%d-%H}", f"{end - timedelta(microseconds=1):%Y-%m-%d-%H}"
-        old = scan_model(spark, model_root, fields).where(F.col("received_hour").between(lo, hi))
-        old_folders = _folders(old)
-        if not (_whole_hour(first) and _whole_hour(end)):
-            outside = (F.col("received_at_ts") < instant_lit(first)) | (
-                F.col("received_at_ts") >= instant_lit(end)
-            )
-            boundary = F.col("received_hour").isin(lo, hi)
-            rows = rows.unionByName(old.where(boundary & outside))
+    schema = model_schema([(f[0], f[3]) for f in fields])
+    # Makes sure there is a table to compare with; adds nothing to one that exists.
+    spark.createDataFrame([], schema).write.mode("append").partitionBy(*MODEL_PARTITIONS).parquet(model_root)
+    lo, hi = f"{first:%Y-%m-%d-%H}", f"{end - timedelta(microseconds=1):%Y-%m-%d-%H}"
+    old = scan_model(spark, model_root, fields).where(F.col("received_hour").between(lo, hi))
+    old_folders = _folders(old)
+    if not (_whole_hour(first) and _whole_hour(end)):
+        outside = (F.col("received_at_ts") < instant_lit(first)) | (
+            F.col("received_at_ts") >= instant_lit(end)
+        )
+        boundary = F.col("received_hour").isin(lo, hi)
+        rows = rows.unionByName(old.where(boundary & outside))
     seen = Observation()
     observed = rows.observe(
         seen, F.collect_set(F.struct(*[F.col(c) for c in MODEL_PARTITIONS])).alias("folders")
@@ -104,10 +105,9 @@ def refresh_model(
         .parquet(model_root)
     )
     written = {tuple(f) for f in seen.get["folders"]}
-    body = [f for f in model_schema([(f[0], f[3]) for f in fields]).fields if f.name not in MODEL_PARTITIONS]
+    nothing = spark.createDataFrame([], schema).drop(*MODEL_PARTITIONS)
     for received_hour, event_date in sorted(set(old_folders) - written):
-        empty = spark.createDataFrame([], type(rows.schema)(body))
-        empty.write.mode("overwrite").parquet(
+        nothing.write.mode("overwrite").parquet(
             f"{model_root}/received_hour={received_hour}/event_date={event_date}"
         )
 
@@ -119,12 +119,3 @@ def _whole_hour(moment: datetime) -> bool:
 def _folders(rows: DataFrame) -> list[tuple[str, str]]:
     """Folder names of the refreshed range: hours of the range times its few days."""
     return [tuple(r) for r in rows.select(*MODEL_PARTITIONS).distinct().collect()]
-
-
-def _exists(spark: SparkSession, root: str) -> bool:
-    try:
-        return bool(spark.read.parquet(root).columns)
-    except Exception as error:  # an absent or still empty folder has no schema
-        if "PATH_NOT_FOUND" in str(error) or "UNABLE_TO_INFER_SCHEMA" in str(error):
-            return False
-        raise
