@@ -43,12 +43,15 @@ def compact_json(value: Column) -> Column:
     return F.coalesce(ascii_json(value), F.lit("{}"))
 
 
+def variant_value(parsed: Column, path: str) -> Column:
+    """A scalar of a parsed JSON value as text; objects, arrays and null give NULL."""
+    nested = kind(parsed, path).rlike("^(OBJECT|ARRAY)")
+    return F.when(~nested, F.try_variant_get(parsed, path, "string"))
+
+
 def json_value(text: Column, path: str) -> Column:
     """A scalar at `path` as text; objects, arrays, null and bad JSON give NULL."""
-    found = F.get_json_object(text, path)
-    parsed = F.try_parse_json(text)
-    nested = found.rlike(r"^[\[{]") & kind(parsed, path).rlike("^(OBJECT|ARRAY)")
-    return F.when(parsed.isNotNull() & ~F.coalesce(nested, F.lit(False)), found)
+    return variant_value(F.try_parse_json(text), path)
 
 
 def json_keys(text: Column) -> Column:

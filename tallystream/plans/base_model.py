@@ -13,7 +13,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tallystream.functions.json_text import json_value, safe_cast
+from tallystream.functions.json_text import safe_cast, variant_value
 from tallystream.operators.dedupe import dedupe_latest
 from tallystream.operators.filters import filter_received_range, instant_lit
 from tallystream.schemas import MODEL_LOOKBACK_HOURS, PROMOTED_FIELDS, RAW_COLUMNS
@@ -31,13 +31,17 @@ def enabled_fields(names: Sequence[str] | None = None) -> list[Field]:
     return [known[n] for n in names]
 
 
-def promoted_column(field: Field) -> Column:
-    name, source, path, type_name = field
-    return safe_cast(json_value(F.col(source), path), type_name).alias(name)
-
-
 def promote_fields(rows: DataFrame, fields: Sequence[Field]) -> DataFrame:
-    return rows.select("*", *[promoted_column(f) for f in fields])
+    """Add one column per field. Each JSON column is parsed once for all its fields."""
+    sources = sorted({f[1] for f in fields})
+    parsed = rows.withColumns({f"_{s}": F.try_parse_json(s) for s in sources}) if sources else rows
+    return parsed.select(
+        *rows.columns,
+        *[
+            safe_cast(variant_value(F.col(f"_{source}"), path), type_name).alias(name)
+            for name, source, path, type_name in fields
+        ],
+    )
 
 
 def base_model(

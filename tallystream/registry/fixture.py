@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystream.plans.landing import land_raw
-from tallystream.plans.serving import load_serving
+from tallystream.plans.serving import serving_rows
+from tallystream.schemas import SERVING_SORT
 from tallystream.session import scratch_path
-from tallystream.sources.stores import scan_raw, scan_serving
+from tallystream.sources.stores import scan_serving
 
 # Driver events with resends: exact copies, after 5 minutes, after 3 hours.
 SENT = """
@@ -185,7 +186,7 @@ def _spark(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     tables = {n: read(n) for n in names}
     if "{sent}" in text:
         text = text.replace("{sent}", SENT)
-        tables["events"] = read("events")
+        tables["events"] = spread(read("events"))
     # Braces of JSON literals must survive the {table} substitution.
     for name in tables:
         text = text.replace("{" + name + "}", f"@@{name}@@")
@@ -195,6 +196,12 @@ def _spark(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     return spark.sql(text, **tables)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores although the given file is too small to be split; a large input stays as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 < cores else df
+
+
 def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spark(spark, sf_dir, RAW)
 
@@ -291,8 +298,16 @@ def raw_store(spark: SparkSession, sf_dir: str) -> str:
 
 
 def serving_store(spark: SparkSession, sf_dir: str) -> str:
-    raw = raw_store(spark, sf_dir)
-    return _store(spark, sf_dir, "serving", lambda path: load_serving(scan_raw(spark, raw), path))
+    """Serving rows by day, for the queries that only read the table.
+
+    The loaders' own layout, by day and load hour, is written by the load queries.
+    """
+
+    def write(path: str) -> None:
+        rows = serving_rows(raw_rows(spark, sf_dir)).repartition("event_date")
+        rows.sortWithinPartitions(*SERVING_SORT).write.partitionBy("event_date").parquet(path)
+
+    return _store(spark, sf_dir, "serving", write)
 
 
 def message_files(spark: SparkSession, sf_dir: str) -> str:

@@ -11,12 +11,12 @@ from tallystream.functions.times import parse_best_effort_ms, parse_strict_offse
 from tallystream.operators.dedupe import dedupe_latest
 from tallystream.operators.filters import filter_received_range
 from tallystream.plans import base_model as model
+from tallystream.plans.landing import partitioned_raw
 from tallystream.registry import register
 from tallystream.registry.fixture import RAW_CTE, raw_rows, raw_store, ts_text
 from tallystream.registry.loading import PLACED, RAW_TEXT
 from tallystream.schemas import PROMOTED_FIELDS, RAW_COLUMNS
 from tallystream.session import scratch_path
-from tallystream.sources.stores import scan_raw
 
 START, MIDDLE, END = datetime(2024, 1, 3), datetime(2024, 1, 17, 9), datetime(2024, 1, 30, 12)
 RECEIVED = "try_cast(received_at as timestamp)"
@@ -58,7 +58,7 @@ def _promoted(name: str, column: str, path: str, cast: str | None) -> str:
     f"with {PLACED} select app_id, event_id, event_date, {ts_text('received_at_ts')}, nats_sequence from ({FULL}) s",
 )
 def _(spark, sf):
-    rows = filter_received_range(scan_raw(spark, raw_store(spark, sf)), START, END)
+    rows = filter_received_range(partitioned_raw(raw_rows(spark, sf)), START, END)
     return rows.select("app_id", "event_id", "event_date", "received_at_ts", "nats_sequence")
 
 
@@ -90,7 +90,7 @@ def _(spark, sf):
 
 @register("base_model", f"with {PLACED} select {MODEL_TEXT} from ({_latest(FULL)}) s")
 def _(spark, sf):
-    return model.base_model(scan_raw(spark, raw_store(spark, sf)), START, END)
+    return model.base_model(partitioned_raw(raw_rows(spark, sf)), START, END)
 
 
 def _model_columns(rows):
