@@ -22,9 +22,11 @@ from tallystream.schemas import (
     REQUIRED_TEXT,
 )
 
-# --- fixed values: words a client may use for true and false ----------------------
+# --- fixed values: words a client may use for true and false, JSON kinds -----------
 TRUE_WORDS = ["1", "true", "t", "yes", "y", "on"]
 FALSE_WORDS = ["0", "false", "f", "no", "n", "off"]
+# A list of objects, or one that is empty or holds nothing but nulls.
+EVENT_LIST_KIND = "^ARRAY<(OBJECT|VOID)"
 NUMBER_KINDS = "^(BIGINT|DOUBLE|FLOAT|DECIMAL)"
 # --- end of fixed values ------------------------------------------------------------
 
@@ -79,7 +81,8 @@ def envelope_problem(event_json: Column) -> Column:
     """
 
     def judge(v: Column) -> Column:
-        verdict = F.when(~F.coalesce(kind(v).startswith("OBJECT"), F.lit(False)), "event")
+        object_text = v.isNotNull() & F.ltrim(event_json).startswith("{")
+        verdict = F.when(~F.coalesce(object_text, F.lit(False)), "event")
         for path, check, required, nullable in _members():
             k = kind(v, f"$.{path}")
             wrong = F.coalesce(check(k, v, f"$.{path}"), F.lit(True))
@@ -107,21 +110,20 @@ def split_events(requests: DataFrame, max_bytes: int = MAX_REQUEST_BYTES) -> Dat
     A body over the limit is never parsed.
     """
     body = F.when(F.octet_length("body") <= max_bytes, F.col("body"))
-    root = F.try_parse_json(body)
-    listed = kind(root, "$.events")
-    readable = F.coalesce(
-        kind(root).startswith("OBJECT") & (listed.isNull() | listed.startswith("ARRAY")), F.lit(False)
+    # Kind of the events member: NULL when absent, "unreadable" when the body is no object.
+    listed = _let(
+        F.try_parse_json(body),
+        lambda root: F.when(root.isNull() | ~F.ltrim(body).startswith("{"), "unreadable").otherwise(
+            kind(root, "$.events")
+        ),
     )
+    staged = requests.withColumns({"request_bytes": F.octet_length("body"), "_listed": listed})
+    listed = F.col("_listed")
+    readable = listed.isNull() | listed.rlike(EVENT_LIST_KIND)
     events = F.when(listed.isNull(), F.array().cast("array<string>")).otherwise(
         F.from_json(body, "events array<string>")["events"]
     )
-    return requests.withColumns(
-        {
-            "request_bytes": F.octet_length("body"),
-            "events": F.when(readable, events),
-            "readable": readable,
-        }
-    )
+    return staged.withColumns({"events": F.when(readable, events), "readable": readable}).drop("_listed")
 
 
 def with_allowed_app(requests: DataFrame, keys: DataFrame) -> DataFrame:
@@ -150,27 +152,11 @@ def judge_requests(
         max_bytes,
         max_events,
     )
-    refused = F.element_at(
-        F.filter(
-            F.transform(
-                "events",
-                lambda e: auth_reason(
-                    F.col("api_key"), F.col("allowed_app"), F.get_json_object(e, "$.app_id")
-                ),
-            ),
-            lambda r: r.isNotNull(),
-        ),
-        1,
-    )
-    first_refusal = F.when(
-        F.exists(
-            "events",
-            lambda e: auth_reason(
-                F.col("api_key"), F.col("allowed_app"), F.get_json_object(e, "$.app_id")
-            ).isNotNull(),
-        ),
-        refused,
+    refusals = F.transform(
+        "events",
+        lambda e: auth_reason(F.col("api_key"), F.col("allowed_app"), F.get_json_object(e, "$.app_id")),
     )
+    first_refusal = F.try_element_at(F.filter(refusals, lambda r: r.isNotNull()), F.lit(1))
     return judged.withColumn("reason", F.coalesce(sizes, first_refusal))
 
 
@@ -198,9 +184,15 @@ def rejected_batches(judged: DataFrame) -> DataFrame:
 
 
 def explode_events(judged: DataFrame) -> DataFrame:
-    """One row per event: its request's columns, position and JSON text."""
+    """One row per event: its request's columns, position and JSON text.
+
+    The outer form with a filter after it, since for the plain form the optimizer
+    adds a size check below, which would parse every body once more.
+    """
     kept = [c for c in judged.columns if c not in ("events", "body", "readable")]
-    return judged.select(*kept, F.posexplode("events").alias("position", "event"))
+    return judged.select(*kept, F.posexplode_outer("events").alias("position", "event")).where(
+        F.col("position").isNotNull()
+    )
 
 
 def batch_summary(judged: DataFrame) -> DataFrame:

@@ -81,13 +81,14 @@ def ranges(spark):
 
 def test_reasons_come_in_order(spark, keys):
     bodies = [
-        "x" * 400, "{", "[]", '{"events":null}', "{}", body(), body(EVENT, EVENT, EVENT), body(EVENT, {**EVENT, "event_id": 1}),
+        "x" * 400, "{", "[]", '{"events":null}', json.dumps({"events": [json.dumps(EVENT)]}),
+        json.dumps({"events": [EVENT, 5]}), json.dumps({"events": [EVENT, None]}), "{}", body(), body(EVENT, EVENT, EVENT), body(EVENT, {**EVENT, "event_id": 1}),
         body(EVENT, {**EVENT, "app_id": "b"}), body(EVENT),
     ]
     judged = ops.judge_requests(request(spark, *bodies), keys, max_bytes=399, max_events=2)
     got = {r["request_id"]: r["reason"] for r in judged.collect()}
     assert [got[f"r{i}"] for i in range(len(bodies))] == [
-        "request_too_large", "validation_error", "validation_error", "validation_error", "empty_events",
+        "request_too_large", *["validation_error"] * 6, "empty_events",
         "empty_events", "events_limit_exceeded", "validation_error", "auth_app_mismatch", None,
     ]
     for key, reason in [(None, "auth_missing_key"), ("", "auth_missing_key"), ("z", "auth_invalid_key"), ("blank", "auth_invalid_key")]:
