@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallystream.operators.flatten import decodable, flatten_raw
+from tallystream.operators.sizing import small_side
 from tallystream.plans.landing import partitioned_raw
-from tallystream.plans.serving import write_serving, serving_rows
+from tallystream.plans.serving import serving_rows, write_serving
 from tallystream.schemas import FLUSH_INTERVAL_SECONDS, RAW_COLUMNS, RAW_PARTITIONS, RAW_STORE_SCHEMA
 
 
@@ -88,7 +89,7 @@ def load_stream(
         session = batch.sparkSession
         hours = batch.distinct()
         raw = session.read.schema(RAW_STORE_SCHEMA).parquet(raw_root)
-        touched = raw.join(F.broadcast(hours), ["event_date", "hour"], "left_semi")
+        touched = raw.join(small_side(hours), ["event_date", "hour"], "left_semi")
         write_serving(serving_rows(touched.select(*RAW_COLUMNS, "event_date", "hour")), serving_root)
 
     return (
