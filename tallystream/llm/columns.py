@@ -7,7 +7,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,10 +15,13 @@ from pyspark.sql import types as T
 RANGE_BYTES = 1 << 20
 
 
+def importable(spark: SparkSession) -> None:
+    """Let the Python workers import this package wherever the driver was started."""
+    spark.sparkContext.environment.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[2]))
+
+
 def map_arrow(df: DataFrame, function: Callable, schema: T.StructType | str) -> DataFrame:
-    """mapInArrow, with this package importable by the workers wherever the driver was started."""
-    root = str(Path(__file__).resolve().parents[2])
-    df.sparkSession.sparkContext.environment.setdefault("PYTHONPATH", root)
+    importable(df.sparkSession)
     return df.mapInArrow(function, schema)
 
 

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystream.llm import bpe, token_files
+from tallystream.llm import bpe, line_dedup, mixing, quality_rules, token_files
 from tallystream.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,3 +66,41 @@ def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", F.col("token_ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query(quality_rules.SQL)
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    judged = quality_rules.apply_rules(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+                         "base_failed", "kept")
+
+
+@query(
+    r"""
+    with l as (
+      select doc_id, line, place,
+        translate(trim(line, E' \t\n\x0b\f\r'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+      from (select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+                   generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as place from documents)),
+    k as (
+      select key, min(doc_id) as keeper from l where length(key) >= 10 group by key having count(distinct doc_id) > 1),
+    m as (select l.*, keeper is not null and doc_id <> keeper as gone from l left join k using (key))
+    select doc_id, count(*) as n_lines, count(*) filter (gone) as n_dropped,
+      sha256(coalesce(string_agg(line, chr(10) order by place) filter (not gone), '')) as kept_sha256
+    from m group by doc_id
+    """
+)
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that an earlier one holds, as a digest."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.drop_repeated_lines(docs, scratch_path(spark, "lines"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query(mixing.SQL)
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix takes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    mixed = mixing.mix(docs, scratch_path(spark, "mixing"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
