@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystream.llm import bpe, line_dedup, mixing, quality_rules, token_files
+from tallystream.llm import bpe, language_id, line_dedup, mixing, quality_rules, token_files, topk_search
 from tallystream.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -104,3 +104,35 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     mixed = mixing.mix(docs, scratch_path(spark, "mixing"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+@query(
+    """
+    with v as (
+      select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+      from embeddings
+      where embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    s as (
+      select q.vec_id as query_id, c.vec_id, cast(list_inner_product(q.v::double[], c.v::double[]) as bigint) as score
+      from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id)
+    select query_id, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank,
+      vec_id, score
+    from s qualify rank <= 5
+    """
+)
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 5 best rows of every vector whose id is divisible by 50."""
+    vectors = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").cast("long"), topk_search.whole_numbers(F.col("embedding"), 256).alias("vector"))
+    asked = vectors.where("vec_id % 50 = 0").withColumnRenamed("vec_id", "query_id")
+    return topk_search.search(vectors, asked, 5)
+
+
+@query()
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from the rows that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    docs = docs.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
+    profiles = language_id.learn(docs.where(~F.col("held_out")))
+    return language_id.identify(docs.drop("lang"), profiles).select("doc_id", "held_out", "lang_pred", "score")
