@@ -11,7 +11,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallystream.llm import bpe, language_id, line_dedup, mixing, quality_rules, token_files, topk_search
+from tallystream.llm import (
+    bpe,
+    language_id,
+    line_dedup,
+    mixing,
+    quality_rules,
+    token_counts,
+    token_files,
+    topk_search,
+    toxicity,
+)
 from tallystream.session import scratch_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,3 +146,20 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = docs.withColumn("held_out", F.coalesce(held_out, F.lit(False)))
     profiles = language_id.learn(docs.where(~F.col("held_out")))
     return language_id.identify(docs.drop("lang"), profiles).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query()
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the labels that are not held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    model = toxicity.learn(docs, table(spark, sf_dir, "labels").where(~held_out))
+    return toxicity.score(docs.withColumn("held_out", held_out), model).select("doc_id", "held_out", "score", "predicted")
+
+
+@query()
+def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every line of every document, as the whole document is encoded."""
+    docs = token_counts.line_sections(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = token_counts.count_tokens(docs, BYTE_RANKS)
+    return counts.select("doc_id", F.col("place").alias("line"), "begin", "end", F.col("n_tokens").cast("long"))
