@@ -1,20 +1,65 @@
-"""Quality rules, line dedup, near-duplicate join, mixing and tokens, one after the other."""
+"""From documents to token ids: quality rules, line dedup, near-duplicate join, mixing, BPE.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which `run` writes to the
+shared folder and reads again for the next stage. All stages but the last return the columns
+of `documents` (doc_id, text, lang, source, n_chars).
+
+Cases: NULL and empty texts go in the first stage, as documents of too few words; NULL ids,
+languages and sources stay as they are; columns beyond those of `documents` are dropped;
+repeated rows are near duplicates of each other, of which one stays; an empty table gives an
+empty result.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tallystream.llm import bpe
+from tallystream.llm import bpe, jaccard_join, line_dedup, mixing, quality_rules
 from tallystream.llm.queries import BYTE_RANKS
 from tallystream.session import scratch_path
 
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the quality rules keep, whole."""
+    return quality_rules.apply_rules(docs.select(*COLUMNS)).where("kept").select(*COLUMNS)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without the lines that an earlier one holds; n_chars follows the text."""
+    kept = line_dedup.drop_repeated_lines(docs.select(*COLUMNS), scratch_path(spark, "pipeline-lines"))
+    return kept.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones: the smallest id."""
+    groups = jaccard_join.similar_groups(docs.select("doc_id", "text"), scratch_path(spark, "pipeline-groups"))
+    first = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("_first")).distinct()
+    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["_first"])).select(*COLUMNS)
+    return kept.dropDuplicates(["doc_id"])
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document as many times as the mix takes it."""
+    mixed = mixing.mix(docs.select(*COLUMNS), scratch_path(spark, "pipeline-mix"))
+    times = F.explode(F.sequence(F.lit(1), F.col("epochs"))).alias("epoch")
+    return mixed.where("epochs > 0").select(*COLUMNS, times).select(*COLUMNS)
+
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with their token ids."""
-    return bpe.encode(docs, BYTE_RANKS)
+    return bpe.encode(docs.select(*COLUMNS), BYTE_RANKS)
 
 
-STAGES = [("byte_bpe", tokens)]
+STAGES = [
+    ("quality_rules", rules),
+    ("line_dedup", lines),
+    ("jaccard_join", near_duplicates),
+    ("mixing", mix),
+    ("byte_bpe", tokens),
+]
 
 # BPE merges have no SQL form.
 ORACLE_SQL = None

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallystream.llm import (
     bpe,
+    jaccard_join,
     language_id,
     line_dedup,
     mixing,
@@ -163,3 +164,41 @@ def op3_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = token_counts.line_sections(table(spark, sf_dir, "documents").select("doc_id", "text"))
     counts = token_counts.count_tokens(docs, BYTE_RANKS)
     return counts.select("doc_id", F.col("place").alias("line"), "begin", "end", F.col("n_tokens").cast("long"))
+
+
+@query(
+    r"""
+    with d as (
+      select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') as w
+      from documents),
+    s as (
+      select doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 5 then [array_to_string(w, ' ')]
+        else list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) end) as sh
+      from d),
+    n as (select doc_id, len(sh) as n from s),
+    t as (select doc_id, unnest(sh) as sh from s),
+    p as (
+      select a.doc_id as a, b.doc_id as b, count(*) as c
+      from t a join t b on a.sh = b.sh and a.doc_id < b.doc_id group by 1, 2),
+    e as (
+      select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 75 * (x.n + y.n - c)),
+    r as (
+      with recursive reach(node, low) using key (node) as (
+        select doc_id, doc_id from n
+        union
+        select u.v, min(reach.low)
+        from (select a as u, b as v from e union all select b, a from e) u
+        join reach on reach.node = u.u
+        join recurring.reach old on old.node = u.v
+        where reach.low < old.low
+        group by u.v)
+      select node, low from reach)
+    select n.doc_id, n.n as n_shingles, r.low as component_id from n join r on r.node = n.doc_id
+    """
+)
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Size of every document's shingle set, and the smallest document it is linked to."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.similar_groups(docs, scratch_path(spark, "jaccard"))
