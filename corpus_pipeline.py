@@ -24,7 +24,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality rules keep, whole."""
-    return quality_rules.apply_rules(docs.select(*COLUMNS)).where("kept").select(*COLUMNS)
+    return quality_rules.keep(quality_rules.apply_rules(docs.select(*COLUMNS))).select(*COLUMNS)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

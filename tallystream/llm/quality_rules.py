@@ -111,6 +111,13 @@ def apply_rules(docs: DataFrame) -> DataFrame:
     return df.withColumn("kept", kept).drop(*INNER)
 
 
+def keep(judged: DataFrame) -> DataFrame:
+    """The documents with the verdict `kept`. A filter would be pushed below the projections,
+    which then compute every column anew for each use; a generator is not."""
+    times = F.array_repeat(F.lit(True), F.col("kept").cast("int"))
+    return judged.select("*", F.explode(times).alias("_once")).drop("_once")
+
+
 # The same in DuckDB, for the checks.
 SQL = r"""
 with d as (
