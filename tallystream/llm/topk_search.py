@@ -8,7 +8,7 @@ remaining dimensions allow, can still reach the k-th best score met, and they ar
 The best k of every cell meet in one window per query.
 
 Vectors are integers, and scores are exact: 64-bit where no sum can exceed it, Python integers
-(cut to the range of a long at the end) otherwise.
+(cut to the range of a long) otherwise.
 
 Cases: vectors that are NULL, or hold NULL or non-finite components, take no part; vectors of
 another length than the query's are no candidates; a query is no candidate of its own id;
@@ -28,7 +28,8 @@ from tallystream.llm.columns import importable
 
 ROW_BLOCK, QUERY_BLOCK = 1 << 14, 1 << 10
 DIMENSIONS, CHUNK = 8, 4096
-NULL_ID = -(1 << 63)
+NULL_ID = LEAST = -(1 << 63)
+MOST = (1 << 63) - 1
 FOUND = "query_id long, query_hash long, vec_id long, score long"
 
 
@@ -50,7 +51,8 @@ def search_cell(queries: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: np.
         best = np.argsort(ids, kind="stable")
         return [(b := best[ids[best] != o][:k], np.zeros(len(b), np.int64)) for o in own]
     top = int(np.abs(queries.astype(object)).max()) * int(np.abs(rows.astype(object)).max()) * rows.shape[1]
-    if top >= 1 << 62:
+    wide = top >= 1 << 62
+    if wide:
         queries, rows = queries.astype(object), rows.astype(object)
     # Dimensions of much query mass first, so that little mass remains early.
     real_queries, real_rows = queries.astype(float), rows.astype(float)
@@ -73,13 +75,15 @@ def search_cell(queries: np.ndarray, own: np.ndarray, rows: np.ndarray, ids: np.
             score = np.zeros(len(at), rows.dtype)
             for b, columns in enumerate(vertical):
                 score = score + parts[b][q] @ columns[:, at]
-                if len(best_at) == k:
+                if len(best_at) == k and not wide:
                     bound = score.astype(float) + query_rest[b, q] * row_rest[b, at]
                     slack = 1 + 1e-9 * (np.abs(score.astype(float)) + query_rest[b, q] * row_rest[b, at])
                     alive = bound + slack >= float(best_score[-1])
                     at, score = at[alive], score[alive]
+            if wide:
+                score = np.array([min(max(int(s), LEAST), MOST) for s in score], object)
             at, score = np.concatenate([best_at, at]), np.concatenate([best_score, score])
-            keep = np.lexsort((ids[at], -score))[:k] if score.dtype != object else np.array(
+            keep = np.lexsort((ids[at], -score))[:k] if not wide else np.array(
                 sorted(range(len(at)), key=lambda i: (-score[i], ids[at[i]]))[:k], np.int64)
             best_at, best_score = at[keep], score[keep]
         out.append((best_at, best_score))
@@ -108,12 +112,11 @@ def search(rows: DataFrame, queries: DataFrame, k: int = 5) -> DataFrame:
             take = lambda t, c: t.column(c).combine_chunks().to_numpy(zero_copy_only=False)
             whole = lambda t: matrix(t.column("vector").combine_chunks())
             own, hashes, ids = take(asked, "query_id"), take(asked, "query_hash"), take(stored, "vec_id")
-            least, most = -(1 << 63), (1 << 63) - 1
             for q, (at, score) in enumerate(search_cell(whole(asked), own, whole(stored), ids, k)):
                 found["query_id"] += [own[q]] * len(at)
                 found["query_hash"] += [hashes[q]] * len(at)
                 found["vec_id"] += ids[at].tolist()
-                found["score"] += [min(max(int(s), least), most) for s in score]
+                found["score"] += [int(s) for s in score]
         return pa.table({n: pa.array(v, pa.int64()) for n, v in found.items()})
 
     keys = ("q", "c", "length")
