@@ -85,6 +85,13 @@ def linked(common: int | np.ndarray, one: int | np.ndarray, other: int | np.ndar
     return 100 * common >= PERCENT * (one + other - common)
 
 
+def texts_of(docs: DataFrame, members: DataFrame) -> DataFrame:
+    """The texts of all members and leaders. The whole corpus is dealt out for this once, by a
+    merge join whatever the sizes, and only what is compared goes on."""
+    wanted = members.select("doc").unionByName(members.select(F.col("leader").alias("doc"))).distinct()
+    return docs.join(wanted.hint("merge"), docs["doc_id"] == wanted["doc"], "left_semi")
+
+
 def with_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """The texts of the documents in `wanted` (doc, ..), a row for each of its rows."""
     return docs.join(wanted, docs["doc_id"] == wanted["doc"]).drop("doc_id")
@@ -233,9 +240,10 @@ def similar_groups(docs: DataFrame, scratch: str) -> DataFrame:
     members = bands.join(leaders, "key").where("doc <> leader").select("leader", "doc").distinct()
     members = written(members, join(scratch, "members"))
 
-    stars = written(star_links(docs, members), join(scratch, "star-links"))
+    texts = written(texts_of(docs, members), join(scratch, "texts"))
+    stars = written(star_links(texts, members), join(scratch, "star-links"))
     labels = components(stars, join(scratch, "star-components"))
-    strays = written(stray_links(docs, members, labels), join(scratch, "stray-links"))
+    strays = written(stray_links(texts, members, labels), join(scratch, "stray-links"))
 
     # Rows of one set, and rows of one id, are linked to the class's document.
     same = sketched.where("n > 0").select(F.col("doc_id"), "h1", "h2", "n").join(
