@@ -26,16 +26,21 @@ def letters(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return points[keep], rows[keep]
 
 
-def grams(points: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The row and 64-bit hash of every n characters that lie in one text."""
+def grams(points: np.ndarray, rows: np.ndarray, n: int, solid: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """The row and 64-bit hash of every n characters that lie in one text; solid: those that
+    are or touch one word only."""
     size = len(points) - n + 1
     if size <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     h = np.full(size, np.uint64(n))
+    whole = np.ones(size, bool)
     for k in range(n):
         h = h * PRIME + points[k : k + size]
-    # The 0 after a text's last word has the row of the next text.
-    middle = rows[n // 2 : n // 2 + size] if n > 1 else rows
-    last = np.where(points[n - 1 :] == 0, rows[max(n - 2, 0) : max(n - 2, 0) + size], rows[n - 1 :])
-    whole = (rows[:size] == last) & (middle == last)
-    return last[whole], mixed(h[whole])
+        if solid and (0 < k < n - 1 or n == 1):
+            whole &= points[k : k + size] != 0
+    if n > 1:  # a 0 at either end belongs to the text of the letter beside it
+        first = np.where(points[:size] == 0, rows[1 : 1 + size], rows[:size])
+        last = np.where(points[n - 1 :] == 0, rows[n - 2 : n - 2 + size], rows[n - 1 :])
+        whole &= first == last
+        rows = last
+    return rows[:size][whole], mixed(h[whole])

@@ -39,24 +39,12 @@ def counted(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     points, rows = letters(texts)
     keys = []
     for n in ORDERS:
-        row, h = grams(points, rows, n)
-        if n == 1:
-            row, h = row[points != 0], h[points != 0]
-        if n == 3:  # no n-gram over a word border
-            inner = points[1:-1][rows_inside(points, rows)] != 0
-            row, h = row[inner], h[inner]
+        row, h = grams(points, rows, n, solid=True)
         keys.append(row << BITS | (h >> np.uint64(64 - BITS)).astype(np.int64))
     found, count = np.unique(np.concatenate(keys), return_counts=True)
     return found >> BITS, found & (1 << BITS) - 1, count
 
 
-def rows_inside(points: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Which windows of three `grams` keeps."""
-    size = len(points) - 2
-    last = np.where(points[2:] == 0, rows[1 : 1 + size], rows[2:])
-    return (rows[:size] == last) & (rows[1 : 1 + size] == last)
-
-
 @dataclass
 class Profiles:
     """Languages by name; n-grams in order, and their ranks, a column per language."""

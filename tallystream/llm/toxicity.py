@@ -151,7 +151,7 @@ def fit(rows: np.ndarray, features: np.ndarray, toxic: np.ndarray, size: int, pa
         gradient = np.append(np.bincount(features, error[rows], size) + L2 * weights, error.sum())
         if n_pairs:
             change = np.bincount(rows_a, weights[features_a], n_pairs) - np.bincount(rows_b, weights[features_b], n_pairs)
-            change *= 2 * penalty / n_pairs
+            change = change * (2 * penalty / n_pairs)
             gradient[:-1] += np.bincount(features_a, change[rows_a], size) - np.bincount(features_b, change[rows_b], size)
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
