@@ -87,8 +87,8 @@ def replaced(batch: pa.RecordBatch, name: str, column: pa.Array) -> pa.RecordBat
     return pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), column], names=[*names, name])
 
 
-def small_batches(batches: Iterable[pa.RecordBatch], column: str, limit: int = 4 * RANGE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Slices of some MB of text each, without copying; a longer row makes a slice of its own."""
+def small_batches(batches: Iterable[pa.RecordBatch], column: str, limit: int = RANGE_BYTES) -> Iterator[pa.RecordBatch]:
+    """Slices of about a MB of text each, without copying; a longer row makes a slice of its own."""
     for batch in batches:
         _, offsets = text_buffer(batch.column(column))
         first = 0

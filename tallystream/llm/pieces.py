@@ -13,7 +13,7 @@ from functools import lru_cache
 import numpy as np
 import regex
 
-from tallystream.llm.columns import ranges, spread
+from tallystream.llm.columns import RANGE_BYTES, ranges, spread
 
 BLANK, LETTER, NUMBER, OTHER = 0, 1, 2, 3
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -82,7 +82,7 @@ def starts_of(data: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return at[start]
 
 
-@lru_cache(4)
+@lru_cache(1)
 def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse, modulo 2^64."""
     up, down = np.full(size, BASE), np.full(size, INVERSE)
@@ -90,6 +90,12 @@ def powers(size: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
+def powers_for(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least `size` powers: a table that stays for usual ranges, one of its own for a longer one."""
+    usual = RANGE_BYTES + 1
+    return powers(usual) if size <= usual else powers.__wrapped__(size)
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ h >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ h >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
@@ -98,7 +104,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 def span_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hashes of the byte spans, from one running sum over the data."""
-    up, down = powers(1 << max(20, int(data.size + 1).bit_length()))
+    up, down = powers_for(data.size + 1)
     total = np.zeros(data.size + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[: data.size], out=total[1:])
     return mixed((total[end] - total[begin]) * down[begin] + (end - begin).astype(np.uint64))
