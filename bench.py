@@ -35,6 +35,8 @@ def main() -> None:
             f"local[{cpus}]",
             **{
                 "spark.sql.shuffle.partitions": partitions,
+                # The tables are so small that one task would write them all.
+                "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k",
                 "spark.ui.enabled": "false",
                 "spark.ui.showConsoleProgress": "false",
                 "spark.driver.memory": "12g",

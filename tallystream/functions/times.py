@@ -11,9 +11,15 @@ EXTENDED_TIME = (
     r"([T ]\d{2}(:\d{2}(:\d{2}([.,]\d+)?)?)?(Z|[+-]\d{2}(:?\d{2})?)?)?$"
 )
 COMPACT_TIME = r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})(\d{2})([.,]\d+)?(Z|[+-]\d{2}(?::?\d{2})?)?$"
+COMPACT_MINUTE = r"^(\d{4})(\d{2})(\d{2})T(\d{2})(\d{2})?(Z|[+-]\d{2}(?::?\d{2})?)?$"
 COMPACT_DATE = r"^(\d{4})(\d{2})(\d{2})$"
+WEEK_DATE = r"^(\d{4})-?W(\d{2})(?:-?([1-7]))?$"
 STRICT_OFFSET_TIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?[+-]\d{2}:\d{2}$"
-EPOCH_SECONDS = r"^\d{9,10}$"
+EPOCH = r"^\d{9,10}$|^\d{13}$|^\d{16}$"
+STAMP = r"^(\d{4})(\d{2})(\d{2})(\d{2})(\d{2})(\d{2})$"
+SLASHES = r"^(\d{4})/(\d{2})/(\d{2})(?:[T ](\d{2}:\d{2}(?::\d{2}(?:\.\d+)?)?))?$"
+MAIL_TIME = r"^(?:[A-Z][a-z]{2}, )?(\d{1,2}) ([A-Z][a-z]{2}) (\d{4}) (\d{2}:\d{2}:\d{2}) (?:GMT|UTC|Z|[+-]0000)$"
+MONTHS = ["Jan", "Feb", "Mar", "Apr", "May", "Jun", "Jul", "Aug", "Sep", "Oct", "Nov", "Dec"]
 # --- end of fixed values --------------------------------------------------------
 
 
@@ -33,24 +39,50 @@ def parse_iso(text: Column) -> Column:
             F.regexp_replace(t, COMPACT_TIME, "$1-$2-$3T$4:$5:$6$7$8"), ",", "."
         ).try_cast("timestamp"),
     )
+    minute = F.when(
+        t.rlike(COMPACT_MINUTE),
+        F.regexp_replace(
+            F.regexp_replace(t, COMPACT_MINUTE, "$1-$2-$3T$4:$5:00$6"), "T(..)::", "T$1:00:"
+        ).try_cast("timestamp"),
+    )
     day = F.when(
         t.rlike(COMPACT_DATE),
         F.regexp_replace(t, COMPACT_DATE, "$1-$2-$3").try_cast("timestamp"),
     )
-    return F.coalesce(extended, compact, day)
+    return F.coalesce(extended, compact, minute, day, _week_day(t))
 
 
-def parse_best_effort_ms(text: Column) -> Column:
-    """ISO text or 9-10 epoch digits, cut to milliseconds; NULL when neither.
+def _week_day(text: Column) -> Column:
+    """Midnight of a week date; its Monday if no day is named."""
+    part = lambda i: F.regexp_extract(text, WEEK_DATE, i).try_cast("int")
+    monday = F.to_date(F.date_trunc("WEEK", F.make_date(part(1), F.lit(1), F.lit(4)).cast("timestamp")))
+    found = F.date_add(monday, (part(2) - 1) * 7 + F.coalesce(part(3), F.lit(1)) - 1)
+    # Week 53 counts only where the year has one.
+    own_week = F.weekofyear(found) == part(2)
+    return F.when(text.rlike(WEEK_DATE), F.when(own_week, found.cast("timestamp")))
 
-    Assumption about the serving engine's parser, which accepts more odd formats
-    than these: telemetry clients send one of the two.
-    """
+
+def parse_best_effort_ms(text: Column) -> Column:
+    """Cut to milliseconds: ISO text, epoch digits (9-10 seconds, 13 milliseconds, 16
+    microseconds), 14 digits of a stamp, dates with slashes, mail dates in UTC; else NULL."""
     t = F.trim(text)
+    number, digits = t.try_cast("bigint"), F.length(t)
     epoch = F.when(
-        t.rlike(EPOCH_SECONDS), F.timestamp_seconds(t.try_cast("bigint"))
+        t.rlike(EPOCH),
+        F.when(digits == 16, F.timestamp_micros(number))
+        .when(digits == 13, F.timestamp_millis(number))
+        .otherwise(F.timestamp_seconds(number)),
+    )
+    stamp = F.when(t.rlike(STAMP), F.regexp_replace(t, STAMP, "$1-$2-$3 $4:$5:$6").try_cast("timestamp"))
+    slashes = F.when(t.rlike(SLASHES), F.trim(F.regexp_replace(t, SLASHES, "$1-$2-$3 $4")).try_cast("timestamp"))
+    part = lambda i: F.regexp_extract(t, MAIL_TIME, i)
+    month = F.array_position(F.array(*[F.lit(m) for m in MONTHS]), part(2))
+    mail = F.when(
+        t.rlike(MAIL_TIME),
+        F.concat(part(3), F.lit("-"), F.lpad(month.cast("string"), 2, "0"), F.lit("-"), F.lpad(part(1), 2, "0"),
+                 F.lit("T"), part(4), F.lit("Z")).try_cast("timestamp"),
     )
-    return F.date_trunc("MILLISECOND", F.coalesce(parse_iso(text), epoch))
+    return F.date_trunc("MILLISECOND", F.coalesce(parse_iso(text), epoch, stamp, slashes, mail))
 
 
 def parse_strict_offset(text: Column) -> Column:

@@ -70,7 +70,7 @@ def clean_steps(steps: Sequence[str]) -> list[str]:
     """Trimmed, blanks removed; 2 to 10 must remain."""
     kept = [s.strip() for s in steps if s.strip()]
     if not 2 <= len(kept) <= 10:
-        raise ValueError("steps must contain between 2 and 10 event names")
+        raise ValueError(f"a funnel has 2 to 10 steps, not {len(kept)}")
     return kept
 
 
@@ -78,5 +78,6 @@ def filter_steps(events: DataFrame, steps: Sequence[str]) -> DataFrame:
     return events.where(F.col("event_name").isin(sorted(set(clean_steps(steps)))))
 
 
-def checked_limit(limit: int, maximum: int) -> int:
-    return max(1, min(limit, maximum))
+def checked_limit(limit: int, maximum: int | None) -> int:
+    """At least 1 and at most `maximum`; None is no maximum."""
+    return max(1, limit if maximum is None else min(limit, maximum))

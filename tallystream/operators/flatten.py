@@ -53,7 +53,13 @@ def flatten_raw(messages: DataFrame, *keep: str) -> DataFrame:
         for context in ("user", "device", "ingest")
     }
     staged = tops.withColumns({f"c_{context}": column for context, column in inner.items()})
-    c = lambda context, member: F.col(f"c_{context}.{member}")
+
+    def c(context: str, member: str) -> Column:
+        """Text of a member, bare booleans spelled as above; parsed again only where it may be one."""
+        text = F.col(f"c_{context}.{member}")
+        flag = text.isin("true", "false") & (kind(F.try_parse_json(m(context)), f"$.{member}") == "BOOLEAN")
+        return F.when(flag, F.initcap(text)).otherwise(text)
+
     columns = {
         "event_id": said("event_id"),
         "app_id": F.coalesce(_filled(said("app_id")), F.lit("unknown_app")),

@@ -33,6 +33,7 @@ from tallystream.operators.filters import (
     filter_optional,
     filter_steps,
 )
+from tallystream.schemas import BOT_AGENT_PATTERN
 
 MIN_SLICE_SECONDS = 86_400
 
@@ -122,8 +123,9 @@ def calculate_funnel(
     environment: str | None = "prod",
     window_hours: int = 24,
     exclude_bots: bool = True,
+    bot_pattern: str = BOT_AGENT_PATTERN,
 ) -> DataFrame:
     steps = clean_steps(steps)
     rows = filter_date_range(events, start_date, end_date)
-    rows = filter_bots(filter_optional(rows, app_id, environment), exclude_bots)
+    rows = filter_bots(filter_optional(rows, app_id, environment), exclude_bots, bot_pattern)
     return step_counts(funnel_levels(rows, steps, window_seconds(window_hours)), len(steps))

@@ -1,11 +1,9 @@
 """Address to country.
 
 Ranges are disjoint rows (lo_ip, hi_ip, country struct<name, iso_code>,
-country_name, country_code). A range join on the bare bounds would compare every
-address with every range, so both sides get an address-prefix key and the join is
-an equality with the bounds as a filter. A range is filed at the fine level
-unless it covers too many fine prefixes, then at the coarse one; each level has
-a small fixed number of prefixes a range can cover.
+country_name, country_code). Each is cut once into the network blocks it consists of: prefixes
+of whole hex digits, at most 30 for each digit in which its ends differ. An address is then
+looked up by equality with its own prefixes, so it meets no range that does not hold it.
 """
 
 from __future__ import annotations
@@ -13,30 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallystream.functions.network import MAPPED_PREFIX, ip_key
-from tallystream.operators.sizing import small_side
+from tallystream.functions.network import ip_key
 
-# --- fixed values: hex digits of a key that make up its prefix ----------------------
-# level -> (digits for IPv4, digits for IPv6): /16 and /32, then /8 and /16
-PREFIX_DIGITS = {"fine": (28, 8), "coarse": (26, 4)}
-MAX_FINE_PREFIXES = 256
-# --- end of fixed values --------------------------------------------------------------
-
-
-def _prefix(key: Column, level: str) -> Column:
-    v4, v6 = PREFIX_DIGITS[level]
-    return F.when(key.startswith(MAPPED_PREFIX), F.substring(key, 1, v4)).otherwise(
-        F.substring(key, 1, v6)
-    )
-
-
-def _prefix_number(key: Column, level: str) -> Column:
-    """The prefix as a number; only its variable digits, so that it fits 64 bits."""
-    v4, v6 = PREFIX_DIGITS[level]
-    digits = F.when(
-        key.startswith(MAPPED_PREFIX), F.substring(key, len(MAPPED_PREFIX) + 1, v4 - len(MAPPED_PREFIX))
-    ).otherwise(F.substring(key, 1, v6))
-    return F.conv(digits, 16, 10).try_cast("bigint")
+KEY_DIGITS = 32
+HEX = "0123456789abcdef"
 
 
 def normalise_country(ranges: DataFrame) -> DataFrame:
@@ -53,53 +31,55 @@ def normalise_country(ranges: DataFrame) -> DataFrame:
     ).where("geo_name is not null or geo_code is not null")
 
 
-def range_table(ranges: DataFrame) -> DataFrame:
-    """Normalised ranges, one row per covered prefix at the range's level."""
+def _digit(key: Column, place: Column) -> Column:
+    return F.instr(F.lit(HEX), F.substring(key, place, F.lit(1))) - 1
+
+
+def _head(key: Column, length: Column) -> Column:
+    return F.substring(key, F.lit(1), length)
+
+
+def network_blocks(lo: Column, hi: Column) -> Column:
+    """Prefixes whose blocks together are [lo, hi]; both 32 hex digits, lo not above hi."""
+    places = F.sequence(F.lit(1), F.lit(KEY_DIGITS))
+    digits = F.sequence(F.lit(0), F.lit(15))
+    shared = F.size(F.filter(places, lambda i: _head(lo, i) == _head(hi, i)))
+    # Zeros at the end of lo, and f at the end of hi, need no digits of their own.
+    low, high = F.length(F.regexp_replace(lo, "0+$", "")), F.length(F.regexp_replace(hi, "f+$", ""))
+    whole = F.greatest(low, high)
+    hexed = lambda d: F.substring(F.lit(HEX), d + 1, F.lit(1))
+
+    def beside(key: Column, last: Column, fits) -> Column:
+        """The block at the end itself, and those on its inner side, digit by digit."""
+        last = F.greatest(last, shared + 1)
+        inner = F.filter(places, lambda i: (i > shared + 1) & (i <= last))
+        steps = F.transform(inner, lambda i: F.transform(
+            F.filter(digits, lambda d: fits(d, _digit(key, i))), lambda d: F.concat(_head(key, i - 1), hexed(d))))
+        return F.concat(F.array(_head(key, last)), F.flatten(steps))
+
+    between = F.transform(
+        F.filter(digits, lambda d: (d > _digit(lo, shared + 1)) & (d < _digit(hi, shared + 1))),
+        lambda d: F.concat(_head(lo, shared), hexed(d)))
+    several = F.concat(beside(lo, low, lambda d, own: d > own), between, beside(hi, high, lambda d, own: d < own))
+    return F.when(whole <= shared, F.array(_head(lo, whole))).when(lo < hi, several)
+
+
+def network_table(ranges: DataFrame) -> DataFrame:
+    """prefix, geo_name and geo_code of every block; worth writing once for many lookups."""
     keyed = normalise_country(ranges).select(
-        ip_key(F.col("lo_ip")).alias("lo"), ip_key(F.col("hi_ip")).alias("hi"), "geo_name", "geo_code"
-    )
-    covered = _prefix_number(F.col("hi"), "fine") - _prefix_number(F.col("lo"), "fine")
-    keyed = keyed.withColumn(
-        "level", F.when(covered < MAX_FINE_PREFIXES, "fine").otherwise("coarse")
-    )
-    is_v4 = F.col("lo").startswith(MAPPED_PREFIX)
-
-    def prefix_of(number: Column, level: str) -> Column:
-        v4, v6 = PREFIX_DIGITS[level]
-        digits = F.lower(F.hex(number))
-        return F.when(
-            is_v4, F.concat(F.lit(MAPPED_PREFIX), F.lpad(digits, v4 - len(MAPPED_PREFIX), "0"))
-        ).otherwise(F.lpad(digits, v6, "0"))
-
-    def spread(level: str) -> DataFrame:
-        return keyed.where(F.col("level") == level).select(
-            "lo", "hi", "geo_name", "geo_code", "level",
-            F.explode(
-                F.sequence(_prefix_number(F.col("lo"), level), _prefix_number(F.col("hi"), level))
-            ).alias("number"),
-        ).withColumn("prefix", prefix_of(F.col("number"), level)).drop("number")
-
-    return spread("fine").unionByName(spread("coarse"))
+        ip_key(F.col("lo_ip")).alias("lo"), ip_key(F.col("hi_ip")).alias("hi"), "geo_name", "geo_code")
+    return keyed.select(F.explode(network_blocks(F.col("lo"), F.col("hi"))).alias("prefix"), "geo_name", "geo_code")
 
 
 def with_country(rows: DataFrame, ranges: DataFrame, ip: str = "client_ip") -> DataFrame:
-    """Add geo_name and geo_code for the range holding `ip`; NULL when none does."""
-    table = range_table(ranges)
+    """Add geo_name and geo_code for the range holding `ip`; NULL when none does. Every address
+    is looked up once, however many rows it has; of nested ranges the narrowest block counts."""
     rows = rows.withColumn("_key", ip_key(F.col(ip)))
-    for level in PREFIX_DIGITS:
-        side = table.where(F.col("level") == level).select(
-            F.col("prefix").alias(f"_prefix_{level}"),
-            F.col("lo").alias(f"_lo_{level}"),
-            F.col("hi").alias(f"_hi_{level}"),
-            F.col("geo_name").alias(f"_name_{level}"),
-            F.col("geo_code").alias(f"_code_{level}"),
-        )
-        rows = rows.join(
-            small_side(side),
-            (_prefix(F.col("_key"), level) == F.col(f"_prefix_{level}"))
-            & F.col("_key").between(F.col(f"_lo_{level}"), F.col(f"_hi_{level}")),
-            "left",
-        )
-    found = lambda part: F.coalesce(*[F.col(f"_{part}_{level}") for level in PREFIX_DIGITS])
-    helpers = [c for c in rows.columns if c.startswith("_")]
-    return rows.withColumns({"geo_name": found("name"), "geo_code": found("code")}).drop(*helpers)
+    asked = rows.select("_key").where(F.col("_key").isNotNull()).distinct()
+    lengths = F.sequence(F.lit(0), F.lit(KEY_DIGITS))
+    asked = asked.select("_key", F.explode(F.transform(lengths, lambda n: _head(F.col("_key"), n))).alias("prefix"))
+    found = asked.join(network_table(ranges), "prefix").groupBy("_key").agg(
+        F.max_by(F.struct("geo_name", "geo_code"), F.length("prefix")).alias("_found"))
+    found = found.withColumnRenamed("_key", "_of")
+    joined = rows.join(found, rows["_key"] == found["_of"], "left")
+    return joined.withColumns({"geo_name": F.col("_found.geo_name"), "geo_code": F.col("_found.geo_code")}).drop("_key", "_of", "_found")

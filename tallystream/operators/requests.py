@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from tallystream.functions.json_text import kind
 from tallystream.functions.times import client_time_ok
-from tallystream.operators.sizing import small_side
 from tallystream.schemas import (
     CONTEXTS,
     MAX_EVENTS_PER_REQUEST,
@@ -127,9 +126,10 @@ def split_events(requests: DataFrame, max_bytes: int = MAX_REQUEST_BYTES) -> Dat
 
 
 def with_allowed_app(requests: DataFrame, keys: DataFrame) -> DataFrame:
-    """Left lookup api_key -> allowed_app. `keys` has columns api_key, app_id."""
-    lookup = keys.select("api_key", F.col("app_id").alias("allowed_app"))
-    return requests.join(small_side(lookup), "api_key", "left")
+    """Left lookup api_key -> allowed_app. `keys` has columns api_key, app_id; of a key
+    listed more than once the first app by name counts."""
+    lookup = keys.groupBy("api_key").agg(F.min("app_id").alias("allowed_app"))
+    return requests.join(lookup, "api_key", "left")
 
 
 def judge_requests(

@@ -17,6 +17,7 @@ from tallystream.functions.json_text import safe_cast, variant_value
 from tallystream.operators.dedupe import dedupe_latest
 from tallystream.operators.filters import filter_received_range, instant_lit
 from tallystream.schemas import MODEL_LOOKBACK_HOURS, PROMOTED_FIELDS, RAW_COLUMNS
+from tallystream.session import scratch_path
 from tallystream.sources.stores import model_schema, scan_raw
 
 MODEL_PARTITIONS = ["received_hour", "event_date"]
@@ -96,7 +97,10 @@ def refresh_model(
             F.col("received_at_ts") >= instant_lit(end)
         )
         boundary = F.col("received_hour").isin(lo, hi)
-        rows = rows.unionByName(old.where(boundary & outside))
+        # Kept apart, since their own folders are about to be replaced.
+        carried = scratch_path(spark, "carried-rows")
+        old.where(boundary & outside).write.parquet(carried)
+        rows = rows.unionByName(spark.read.schema(old.schema).parquet(carried))
     seen = Observation()
     observed = rows.observe(
         seen, F.collect_set(F.struct(*[F.col(c) for c in MODEL_PARTITIONS])).alias("folders")

@@ -1,12 +1,14 @@
 """Serving table: typed, free of exact copies, loaded hour by hour.
 
-Layout: event_date=/load_hour=, rows sorted inside each file. event_date serves
-date filters; load_hour is the raw hour the rows came from, so reloading an hour
-replaces exactly its own rows even if some of them carry another date.
+Layout: load_hour=/event_date=, rows sorted inside each file. load_hour is the raw hour the
+rows came from, so reloading an hour replaces one folder whole, even if some of its rows
+carry another date than before; event_date serves date filters.
 """
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +18,7 @@ from tallystream.functions.json_text import uint_or_zero
 from tallystream.functions.times import event_date_of, parse_best_effort_ms
 from tallystream.operators.dedupe import distinct_rows
 from tallystream.schemas import JSON_COLUMNS, RAW_COLUMNS, SERVING_COLUMNS, SERVING_SORT
+from tallystream.sources import folders
 from tallystream.sources.stores import scan_raw_hour
 
 # --- fixed values: text columns that are never NULL in the serving table ----------
@@ -59,7 +62,7 @@ def serving_rows(raw: DataFrame) -> DataFrame:
     unique = distinct_rows(drop_unparseable_time(typed_times(raw)))
     if "hour" not in raw.columns:
         return serving_projection(unique)
-    unique = unique.withColumn("load_hour", F.concat_ws("-", "event_date", "hour")).drop("event_date")
+    unique = unique.withColumn("load_hour", load_hour_key()).drop("event_date")
     return serving_projection(unique, "load_hour")
 
 
@@ -70,34 +73,51 @@ def strict_serving_rows(raw: DataFrame) -> DataFrame:
     return serving_projection(unsigned, filled=FILLED_STRICT)
 
 
-def write_serving(rows: DataFrame, root: str) -> None:
-    """Replace the (event_date, load_hour) folders that `rows` has.
+def write_serving(rows: DataFrame, root: str, hours: Sequence[str]) -> None:
+    """Replace the load hours `hours` whole by `rows`: also an hour's folders of dates it no
+    longer has, and an hour that has no rows any more.
 
-    Rebalancing by the leading sort columns keeps an app's and a name's rows in few
-    files, so that row-group statistics skip the rest, and AQE splits a group that
-    is too large for one task.
+    Rows are written beside the table first and then moved in, hour by hour, so a reader misses
+    an hour for a rename at most, and a load that failed is simply run again. Rebalancing by the
+    leading sort columns keeps an app's and a name's rows in few files, so that row-group
+    statistics skip the rest, and AQE splits a group that is too large for one task.
     """
+    spark = rows.sparkSession
+    staged = f"{root}/_loading-{uuid.uuid4().hex}"
     (
-        rows.hint("rebalance", "event_date", "load_hour", "app_id", "environment", "event_name")
-        .sortWithinPartitions("event_date", "load_hour", *[c for c in SERVING_SORT if c != "event_date"])
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date", "load_hour")
-        .parquet(root)
+        rows.hint("rebalance", "load_hour", "event_date", "app_id", "environment", "event_name")
+        .sortWithinPartitions("load_hour", "event_date", *[c for c in SERVING_SORT if c != "event_date"])
+        .write.partitionBy("load_hour", "event_date")
+        .parquet(staged)
     )
+    made = [name for name in folders.children(spark, staged) if name.startswith("load_hour=")]
+    folders.remove(spark, *[f"{root}/load_hour={hour}" for hour in hours])
+    folders.move(spark, [(f"{staged}/{name}", f"{root}/{name}") for name in made])
+    folders.remove(spark, staged)
+
+
+def load_hours_of(raw: DataFrame) -> list[str]:
+    """Load hours of the raw rows, read off their partitions."""
+    found = raw.select(load_hour_key().alias("h")).distinct().collect()
+    return sorted(r.h for r in found)
+
+
+def load_hour_key() -> Column:
+    return F.concat_ws("-", "event_date", "hour")
 
 
 def load_serving(raw: DataFrame, root: str) -> None:
     """Load everything in `raw`."""
-    write_serving(serving_rows(raw), root)
+    write_serving(serving_rows(raw), root, load_hours_of(raw))
 
 
 def load_hour(spark: SparkSession, raw_root: str, serving_root: str, hour: datetime) -> bool:
-    """Load one raw hour; False, and nothing written, when it has no rows."""
+    """Load one raw hour; False when it has no rows, and then has none in the table either."""
     raw = scan_raw_hour(spark, raw_root, hour)
     if raw.isEmpty():
+        folders.remove(spark, f"{serving_root}/load_hour={hour:%Y-%m-%d-%H}")
         return False
-    load_serving(raw, serving_root)
+    write_serving(serving_rows(raw), serving_root, [f"{hour:%Y-%m-%d-%H}"])
     return True
 
 

@@ -58,22 +58,24 @@ VERDICTS = _verdict_cte(ops.MAX_REQUEST_BYTES, ops.MAX_EVENTS_PER_REQUEST)
 
 # First usable address; the fixture's forwarded items are known by shape.
 CLIENT_IP = r"""case
-  when regexp_matches(coalesce(forwarded_for, ''), '"10\.[0-9.]+:443"') then regexp_extract(forwarded_for, '"(10\.[0-9.]+):443"', 1)
+  when regexp_matches(coalesce(forwarded_for, ''), '"[0-9.]+:443"') then regexp_extract(forwarded_for, '"([0-9.]+):443"', 1)
   when regexp_matches(coalesce(forwarded_for, ''), '\[2001') then regexp_extract(forwarded_for, '\[([^\]]+)\]', 1)
   when real_ip is not null and real_ip <> 'unknown' then real_ip
   else coalesce(peer_ip, '') end"""
 # A range lookup written out per block kind: supplier blocks, then nation blocks.
-LOCATED_CTE = f"""clients as (select *, {CLIENT_IP} as client_ip from requests),
+PART = lambda mark, n: f"try_cast(split_part(client_ip, '{mark}', {n}) as bigint)"
+LOCATED_CTE = f"""spoken as (select *, {CLIENT_IP} as client_ip from requests),
+clients as (select *,
+  ((({PART('.', 1)} - 50) * 256 + {PART('.', 2)}) * 256 + {PART('.', 3)}) * 256 + {PART('.', 4)} as number4,
+  (({PART(':', 3)} * 10000 + {PART(':', 4)}) * 10000 + {PART(':', 5)}) * 10000 + {PART(':', 6)} as number6 from spoken),
 located as (
   select c.*,
     coalesce(n4.n_name, n6.n_name, nb.n_name) as geo_name,
     upper(substr(coalesce(n4.n_name, n6.n_name), 1, 2)) as geo_code
   from clients c
-  left join supplier s4 on client_ip like '10.%'
-    and s4.s_suppkey = try_cast(split_part(client_ip, '.', 2) as bigint) * 256 + try_cast(split_part(client_ip, '.', 3) as bigint)
-    and try_cast(split_part(client_ip, '.', 4) as bigint) <= 99
+  left join supplier s4 on client_ip like '%.%' and s4.s_suppkey * 4 = number4 - number4 % 4 and number4 % 4 <= 2
   left join nation n4 on n4.n_nationkey = s4.s_nationkey
-  left join supplier s6 on client_ip like '2001:%' and cast(s6.s_suppkey as varchar) = split_part(client_ip, ':', 3)
+  left join supplier s6 on client_ip like '2001:%' and s6.s_suppkey = number6
   left join nation n6 on n6.n_nationkey = s6.s_nationkey
   left join nation nb on client_ip like '2_.%' and nb.n_nationkey = try_cast(split_part(client_ip, '.', 1) as bigint) - 20)"""
 
@@ -272,7 +274,8 @@ def _(spark, sf):
     r"""select lo_ip, case when lo_ip like '%.%' then '00000000000000000000ffff' || lower(
         printf('%02x%02x%02x%02x', cast(split_part(lo_ip, '.', 1) as bigint), cast(split_part(lo_ip, '.', 2) as bigint),
           cast(split_part(lo_ip, '.', 3) as bigint), cast(split_part(lo_ip, '.', 4) as bigint)))
-      else '20010db8' || lpad(split_part(lo_ip, ':', 3), 4, '0') || repeat('0', 20) end as ip_key from ("""
+      else '20010db8' || lpad(split_part(lo_ip, ':', 3), 4, '0') || lpad(split_part(lo_ip, ':', 4), 4, '0')
+        || lpad(split_part(lo_ip, ':', 5), 4, '0') || lpad(split_part(lo_ip, ':', 6), 4, '0') || repeat('0', 8) end as ip_key from ("""
     + duck(RANGES) + ") r",
 )
 def _(spark, sf):

@@ -10,10 +10,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallystream.plans.landing import land_raw
-from tallystream.plans.serving import serving_rows
-from tallystream.schemas import SERVING_SORT
+from tallystream.plans.serving import load_serving
 from tallystream.session import scratch_path
-from tallystream.sources.stores import scan_serving
+from tallystream.sources.stores import scan_raw, scan_serving
 
 # Driver events with resends: exact copies, after 5 minutes, after 3 hours.
 SENT = """
@@ -128,9 +127,9 @@ select app, batch, received_at, txt,
   case when batch % 17 = 3 then cast(null as string) when batch % 19 = 4 then 'nope'
        when batch % 23 = 5 then 'key_' || cast((app + 1) % 3 as string)
        when batch % 47 = 11 then 'key_blank' else 'key_' || cast(app as string) end as api_key,
-  case when batch % 4 = 0 then 'unknown, "10.0.' || cast(batch % 128 as string) || '.' || cast(app * 90 as string) || ':443"'
+  case when batch % 4 = 0 then 'unknown, "' || {octets}.' || cast(batch * 4 % 256 + 1 + app as string) || ':443"'
        when batch % 4 = 1 then cast(null as string)
-       when batch % 4 = 2 then ' 1.2.3 , [2001:db8:' || cast(batch % 90 as string) || '::5]:80, 10.0.0.1'
+       when batch % 4 = 2 then ' 1.2.3 , [' || {groups} || '::5]:80, 10.0.0.1'
        else '' end as forwarded_for,
   case when batch % 8 = 1 then '2' || cast(batch % 9 as string) || '.7.7.7' when batch % 8 = 3 then 'unknown'
        else cast(null as string) end as real_ip,
@@ -150,21 +149,19 @@ union all
 select distinct 'key_blank', '' from {nation}
 """
 
-# Address ranges: a small IPv4 and IPv6 block per supplier, with gaps, and an
-# IPv4 block wider than the fine prefix level per nation.
+# Address ranges: three of four IPv4 addresses and one IPv6 block per supplier, and an IPv4
+# block of many prefixes per nation. The supplier's key runs over all octets after the first
+# (on from 50) and over four groups, four decimal digits each.
 RANGES = """
-select '10.' || cast(cast(floor(s_suppkey / 256.0) as bigint) as string) || '.'
-         || cast(s_suppkey % 256 as string) || '.0' as lo_ip,
-  '10.' || cast(cast(floor(s_suppkey / 256.0) as bigint) as string) || '.'
-         || cast(s_suppkey % 256 as string) || '.99' as hi_ip,
+select {octets}.' || cast(s_suppkey * 4 % 256 as string) as lo_ip,
+  {octets}.' || cast(s_suppkey * 4 % 256 + 2 as string) as hi_ip,
   ' ' || n_name as nested_name, cast(null as string) as nested_code,
   'flat' as flat_name, lower(substr(n_name, 1, 2)) as flat_code
 from {supplier} join {nation} on s_nationkey = n_nationkey
 union all
-select '2001:db8:' || cast(s_suppkey as string) || '::',
-  '2001:db8:' || cast(s_suppkey as string) || ':ffff:ffff:ffff:ffff:ffff',
+select {groups} || '::', {groups} || ':ffff:ffff',
   n_name, lower(substr(n_name, 1, 2)), '', ''
-from {supplier} join {nation} on s_nationkey = n_nationkey where s_suppkey < 10000
+from {supplier} join {nation} on s_nationkey = n_nationkey
 union all
 select cast(20 + n_nationkey as string) || '.0.0.0', cast(20 + n_nationkey as string) || '.255.255.255',
   '', '', n_name, cast(null as string)
@@ -172,6 +169,22 @@ from {nation}
 """
 
 
+def octets(key: str) -> str:
+    """SQL of a key's first three octets, with its last quote left open."""
+    part = lambda size: f"cast(floor({key} * 4 / {size}.0) as bigint)"
+    return (f"cast(50 + {part(1 << 24)} as string) || '.' || cast({part(1 << 16)} % 256 as string) || '.' || "
+            f"cast({part(1 << 8)} % 256 as string) || '")
+
+
+def groups(key: str) -> str:
+    part = lambda size: f"cast(cast(floor({key} / {size}.0) as bigint) % 10000 as string)"
+    return "'2001:db8:' || " + " || ':' || ".join(part(10 ** n) for n in (12, 8, 4, 0))
+
+
+RANGES = RANGES.replace("{octets}", octets("s_suppkey")).replace("{groups}", groups("s_suppkey"))
+REQUEST_HEADS = REQUEST_HEADS.replace("{octets}", octets("batch")).replace("{groups}", groups("batch"))
+
+
 def duck(text: str) -> str:
     """A fixture text over the pre-registered views."""
     sent = SENT.format(events="events")
@@ -186,7 +199,7 @@ def _spark(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     tables = {n: read(n) for n in names}
     if "{sent}" in text:
         text = text.replace("{sent}", SENT)
-        tables["events"] = spread(read("events"))
+        tables["events"] = read("events")
     # Braces of JSON literals must survive the {table} substitution.
     for name in tables:
         text = text.replace("{" + name + "}", f"@@{name}@@")
@@ -196,12 +209,6 @@ def _spark(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     return spark.sql(text, **tables)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores although the given file is too small to be split; a large input stays as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 < cores else df
-
-
 def raw_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _spark(spark, sf_dir, RAW)
 
@@ -298,16 +305,8 @@ def raw_store(spark: SparkSession, sf_dir: str) -> str:
 
 
 def serving_store(spark: SparkSession, sf_dir: str) -> str:
-    """Serving rows by day, for the queries that only read the table.
-
-    The loaders' own layout, by day and load hour, is written by the load queries.
-    """
-
-    def write(path: str) -> None:
-        rows = serving_rows(raw_rows(spark, sf_dir)).repartition("event_date")
-        rows.sortWithinPartitions(*SERVING_SORT).write.partitionBy("event_date").parquet(path)
-
-    return _store(spark, sf_dir, "serving", write)
+    """The serving table as the loader writes it."""
+    return _store(spark, sf_dir, "serving", lambda path: load_serving(scan_raw(spark, raw_store(spark, sf_dir)), path))
 
 
 def message_files(spark: SparkSession, sf_dir: str) -> str:

@@ -131,7 +131,29 @@ def _(spark, sf):
     """The log landed by a stream in several micro-batches."""
     root = scratch_path(spark, "land_stream")
     log = stream_events(spark, message_files(spark, sf), max_files_per_trigger=4)
-    land_stream(log, f"{root}/raw", f"{root}/checkpoint", every_seconds=None, writers_per_partition=1).awaitTermination()
+    land_stream(log, f"{root}/raw", f"{root}/checkpoint", every_seconds=None).awaitTermination()
+    return scan_raw(spark, f"{root}/raw")
+
+
+@register("land_restart", FLAT_STORED)
+def _(spark, sf):
+    """The log landed by a stream that stops and starts again, with a batch landing of what came
+    last into the same layer in between."""
+    root = scratch_path(spark, "land_restart")
+    at = lambda day: F.col("published_at") >= F.lit(day).cast("timestamp")
+    rows, (middle, last) = messages(spark, sf), (at("2024-01-12"), at("2024-01-25"))
+
+    def stream_on():
+        log = stream_events(spark, f"{root}/log", max_files_per_trigger=8)
+        land_stream(log, f"{root}/raw", f"{root}/checkpoint", every_seconds=None).awaitTermination()
+
+    rows.where(~middle).write.mode("append").json(f"{root}/log")
+    stream_on()
+    late, _ = flatten.undecodable_split(rows.where(last))
+    land_raw(partitioned_raw(flatten.flatten_raw(late)), f"{root}/raw")
+    rows.where(middle & ~last).write.mode("append").json(f"{root}/log")
+    for _ in range(2):
+        stream_on()
     return scan_raw(spark, f"{root}/raw")
 
 

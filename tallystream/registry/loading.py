@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallystream.operators.dedupe import distinct_rows
 from tallystream.plans import serving
+from tallystream.plans.landing import land_raw
 from tallystream.registry import register
 from tallystream.registry.fixture import (
     RAW_CTE,
@@ -98,6 +99,24 @@ def _(spark, sf):
     return stores.scan_serving(spark, root)
 
 
+@register(
+    "reload_corrected_hour",
+    f"""with {SERVING_CTE} select {SERVING_TEXT} from serving where date_trunc('hour', event_time) = timestamp '2024-01-10 13:00:00'
+    and cast(substr(event_id, 2) as bigint) % 5 <> 0""",
+)
+def _(spark, sf):
+    """An hour loaded, corrected and loaded again: it first holds rows that carry another day,
+    in a folder of their own, then those are gone from the raw hour."""
+    scratch = scratch_path(spark, "reload_corrected_hour")
+    wrong = F.col("event_id").substr(F.lit(2), F.lit(20)).cast("bigint") % 5 == 0
+    rows = stores.scan_raw_hour(spark, raw_store(spark, sf), HOUR).drop("event_date", "hour")
+    epoch = F.when(wrong, "1704067200").otherwise(F.col("event_timestamp"))
+    for name, raw in (("first", rows.withColumn("event_timestamp", epoch)), ("corrected", rows.where(~wrong))):
+        land_raw(raw, f"{scratch}/{name}")
+        serving.load_hour(spark, f"{scratch}/{name}", f"{scratch}/table", HOUR)
+    return stores.scan_serving(spark, f"{scratch}/table")
+
+
 @register("load_stream", SERVING_ALL)
 def _(spark, sf):
     root = scratch_path(spark, "load_stream")

@@ -33,6 +33,10 @@ SERVING_COLUMNS = [
 SERVING_SORT = [
     "app_id", "environment", "event_name", "event_date", "user_pseudo_id", "event_time",
 ]
+SAMPLE_COLUMNS = [
+    "event_id", "app_id", "environment", "event_name", "event_time", "actor_id", "session_id",
+    "platform", "event_params_json", "geo_json", "ingest_user_agent",
+]
 JSON_COLUMNS = [
     "consent_json", "event_params_json", "geo_json", "traffic_source_json",
     "user_properties_json",

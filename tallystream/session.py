@@ -23,10 +23,6 @@ SCALE_SETTINGS = {
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
 }
 
-# For the checks only: their tables are so small that the cost of a write lies in
-# the number of files, and one task would write them all.
-SMALL_DATA_SETTINGS = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k"}
-
 _local_scratch: dict[str, str] = {}
 
 
@@ -40,8 +36,8 @@ def build_session(name: str = "tallystream", master: str | None = None, **settin
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Fit a session somebody else built to the checks: result settings, small data."""
-    for key, value in {**RESULT_SETTINGS, **SMALL_DATA_SETTINGS}.items():
+    """Give a session somebody else built the settings that results depend on."""
+    for key, value in RESULT_SETTINGS.items():
         spark.conf.set(key, value)
     return spark
 

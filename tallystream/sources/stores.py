@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType, TimestampType
+from pyspark.sql.types import DataType, StringType, StructField, StructType, TimestampType
 
 from tallystream.schemas import RAW_COLUMNS, RAW_STORE_SCHEMA, SERVING_COLUMNS, SERVING_STORE_SCHEMA
+from tallystream.sources import folders
 
 
 def scan_raw(spark: SparkSession, root: str) -> DataFrame:
@@ -19,10 +21,21 @@ def scan_raw(spark: SparkSession, root: str) -> DataFrame:
 
 
 def scan_raw_hour(spark: SparkSession, root: str, hour: datetime) -> DataFrame:
-    """Every app's files for one UTC hour; other hours' files are not opened."""
-    return scan_raw(spark, root).where(
-        (F.col("event_date") == f"{hour:%Y-%m-%d}") & (F.col("hour") == f"{hour:%H}")
-    )
+    """Every app's files for one UTC hour; no other hour's folder is listed or opened."""
+    return scan_raw_hours(spark, root, [(f"{hour:%Y-%m-%d}", f"{hour:%H}")])
+
+
+def scan_raw_hours(spark: SparkSession, root: str, hours: Sequence[tuple[str, str]]) -> DataFrame:
+    """The folders of some (event_date, hour) pairs; pairs without a folder add no rows."""
+    days: dict[str, list[str]] = {}
+    for day, hour in hours:
+        days.setdefault(day, []).append(hour)
+    wanted = [f"{root}/app_id=*/event_date={day}/hour={{{','.join(own)}}}" for day, own in days.items()]
+    there = [p for p in wanted if folders.matches(spark, p)]
+    if not there:
+        return spark.createDataFrame([], RAW_STORE_SCHEMA)
+    rows = spark.read.schema(RAW_STORE_SCHEMA).option("basePath", root).parquet(*there)
+    return rows.select(*RAW_COLUMNS, "event_date", "hour")
 
 
 def hour_file_count(raw: DataFrame) -> DataFrame:
@@ -52,7 +65,5 @@ def model_schema(promoted: list[tuple[str, str]]) -> StructType:
     )
 
 
-def _type(type_name: str | None):
-    from pyspark.sql.types import BooleanType, LongType
-
-    return {None: StringType(), "boolean": BooleanType(), "bigint": LongType()}[type_name]
+def _type(type_name: str | None) -> DataType:
+    return StringType() if type_name is None else DataType.fromDDL(type_name)

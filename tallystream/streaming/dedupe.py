@@ -29,8 +29,10 @@ def dedupe_stream(
     """Write kept messages to root/kept/batch=<n>; recent keys live in root/recent.
 
     A message is kept unless its key was kept less than `window` seconds before it
-    or after it. Keys are remembered for `remember_seconds` (twice the window) of
-    message time, so the table holds recent keys, not all keys ever seen. Two slots
+    or after it. A message without a time counts as the newest of its batch. Keys are
+    remembered for `remember_seconds` (twice the window) before the oldest message of the
+    batch at hand, so the table holds recent keys, not all keys ever seen, and a time far in the
+    future makes it forget nothing. Two slots
     take turns: batch n reads what n - 1 wrote and overwrites what n - 2 wrote, so a
     micro-batch that fails half-way is simply run again.
     """
@@ -38,7 +40,8 @@ def dedupe_stream(
 
     def run(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
-        timed = batch.withColumn(at, F.coalesce(F.col(at), F.current_timestamp()))
+        span = batch.agg(F.max(at).alias("newest"), F.unix_timestamp(F.min(at)).alias("oldest")).first()
+        timed = batch.withColumn(at, F.coalesce(F.col(at), F.lit(span.newest), F.timestamp_seconds(F.lit(0))))
         schema = ", ".join(f"{k} string" for k in keys) + ", kept_at bigint"
         recent = (
             spark.read.schema(schema).parquet(f"{root}/recent/slot={(number - 1) % 2}") if number else None
@@ -49,9 +52,8 @@ def dedupe_stream(
         seen = kept.select(*keys, F.unix_timestamp(at).alias("kept_at"))
         if recent is not None:
             seen = seen.unionByName(recent)
-        newest = seen.agg(F.max("kept_at")).first()[0] or 0
         (
-            seen.where(F.col("kept_at") > newest - remember)
+            seen.where(F.col("kept_at") > (span.oldest or 0) - remember)
             .groupBy(*keys)
             .agg(F.max("kept_at").alias("kept_at"))
             .write.mode("overwrite")

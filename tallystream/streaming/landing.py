@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallystream.operators.flatten import decodable, flatten_raw
-from tallystream.operators.sizing import small_side
-from tallystream.plans.landing import partitioned_raw
+from tallystream.plans.landing import land_raw, partitioned_raw
 from tallystream.plans.serving import serving_rows, write_serving
-from tallystream.schemas import FLUSH_INTERVAL_SECONDS, RAW_COLUMNS, RAW_PARTITIONS, RAW_STORE_SCHEMA
+from tallystream.schemas import FLUSH_INTERVAL_SECONDS, RAW_STORE_SCHEMA
+from tallystream.sources import folders
+from tallystream.sources.stores import scan_raw_hours
 
 
 def _trigger(every_seconds: int | None) -> dict:
@@ -23,31 +26,37 @@ def land_stream(
     checkpoint: str,
     every_seconds: int | None = FLUSH_INTERVAL_SECONDS,
     max_rows_per_file: int = 0,
-    writers_per_partition: int = 4,
 ) -> StreamingQuery:
     """Append decodable messages to the raw layer, micro-batch by micro-batch.
 
-    Progress is committed with the files: after a failure the unfinished
-    micro-batch is written again and readers see each file once. Each landing
-    partition is spread over a fixed number of writers, so that neither one busy
-    app nor many idle ones decide the number of files. every_seconds=None drains
-    what is there and stops. The published flush limits, 1,000 rows or 4 MiB per
-    file, suit one small writer; here max_rows_per_file only caps files.
+    A micro-batch is written beside the layer as a batch landing writes it (small partitions one
+    file, large ones as many as they fill) and then moved in under names that tell the stream and
+    the batch. Once it is written whole, a batch that runs again after a failure only moves what
+    is still to be moved, and a mark tells that all was, so each message lands once. The layer
+    keeps no log of the stream (one mark, the last batch's), and batch landings and other streams
+    may write to it too. every_seconds=None drains what is there and stops.
     """
-    rows = partitioned_raw(flatten_raw(messages.where(decodable(F.col("value")))))
-    salt = F.pmod(F.xxhash64("event_id"), F.lit(writers_per_partition))
-    writer = (
-        rows.repartition(*RAW_PARTITIONS, salt)
-        .writeStream.format("parquet")
-        .partitionBy(*RAW_PARTITIONS)
-        .option("path", root)
+    stream = f"s{zlib.crc32(checkpoint.encode()):08x}"
+
+    def land(batch: DataFrame, number: int) -> None:
+        spark, mark = batch.sparkSession, f"{stream}-{number:010d}"
+        staged, landed = f"{root}/_landing-{mark}", f"{root}/_landed-{mark}"
+        if folders.exists(spark, landed):
+            return
+        if not folders.exists(spark, f"{staged}/_SUCCESS"):
+            rows = partitioned_raw(flatten_raw(batch.where(decodable(F.col("value")))))
+            land_raw(rows, staged, max_rows_per_file, mode="overwrite")
+        files = [f.rsplit("/", 1) for f in folders.leaf_files(spark, staged)]
+        folders.move(spark, [(f"{staged}/{folder}/{name}", f"{root}/{folder}/{mark}-{name}") for folder, name in files])
+        folders.make(spark, landed)
+        folders.remove(spark, staged, f"{root}/_landed-{stream}-{number - 1:010d}")
+
+    return (
+        messages.writeStream.foreachBatch(land)
         .option("checkpointLocation", checkpoint)
-        .option("compression", "snappy")
         .trigger(**_trigger(every_seconds))
+        .start()
     )
-    if max_rows_per_file:
-        writer = writer.option("maxRecordsPerFile", max_rows_per_file)
-    return writer.start()
 
 
 def dead_letters_stream(
@@ -74,9 +83,9 @@ def load_stream(
 ) -> StreamingQuery:
     """Keep the serving table up to date with every new raw file, late ones included.
 
-    Each micro-batch finds out which raw hours got files and reloads those hours
-    whole from the raw layer: exact copies are removed across files, and a repeated
-    micro-batch replaces what it wrote before.
+    Each micro-batch finds out which raw hours got files and reloads those hours whole from
+    their own folders, the only ones it lists: exact copies are removed across files, and a
+    repeated micro-batch replaces what it wrote before.
     """
     arrivals = (
         spark.readStream.schema(RAW_STORE_SCHEMA)
@@ -86,11 +95,10 @@ def load_stream(
     )
 
     def reload_hours(batch: DataFrame, _: int) -> None:
-        session = batch.sparkSession
-        hours = batch.distinct()
-        raw = session.read.schema(RAW_STORE_SCHEMA).parquet(raw_root)
-        touched = raw.join(small_side(hours), ["event_date", "hour"], "left_semi")
-        write_serving(serving_rows(touched.select(*RAW_COLUMNS, "event_date", "hour")), serving_root)
+        # Partition values of at most max_files_per_trigger files.
+        hours = sorted((r.event_date, r.hour) for r in batch.distinct().collect())
+        raw = scan_raw_hours(batch.sparkSession, raw_root, hours)
+        write_serving(serving_rows(raw), serving_root, [f"{day}-{hour}" for day, hour in hours])
 
     return (
         arrivals.writeStream.foreachBatch(reload_hours)

@@ -17,6 +17,8 @@ def spark(tmp_path_factory):
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": "8",
+            # The tables are so small that one task would write them all.
+            "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k",
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "8g",

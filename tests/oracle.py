@@ -50,7 +50,8 @@ def main(sf_dir: str, *names: str) -> None:
     from tallystream.session import build_session
 
     spark = build_session(
-        "oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false",
+        "oracle", "local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "32k",
+                                 "spark.ui.enabled": "false",
                                  "spark.ui.showConsoleProgress": "false",
                                  "spark.driver.memory": "8g"}
     )

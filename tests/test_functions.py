@@ -4,6 +4,7 @@ import ipaddress
 import json
 from datetime import UTC, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tallystream.functions import identity, json_text, network, times
@@ -140,3 +141,18 @@ def test_identity(evaluate):
         "events.com.example.app", "events.a_b",
     ]
     assert evaluate(["", "u", None], lambda v: identity.actor_id(v, F.lit("anon"))) == ["anon", "u", "anon"]
+
+
+@pytest.mark.parametrize(("text", "day_time"), [
+    ("1704067200", "2024-01-01 00:00:00.000"), ("1704067200123", "2024-01-01 00:00:00.123"),
+    ("1704067200123456", "2024-01-01 00:00:00.123"), ("20240101100000", "2024-01-01 10:00:00.000"),
+    ("2024/01/02", "2024-01-02 00:00:00.000"), ("2024/01/01 10:00:00", "2024-01-01 10:00:00.000"),
+    ("Mon, 01 Jan 2024 10:00:00 GMT", "2024-01-01 10:00:00.000"), ("1 Feb 2024 10:00:00 +0000", "2024-02-01 10:00:00.000"),
+    ("20240101T1000Z", "2024-01-01 10:00:00.000"), ("20240101T10", "2024-01-01 10:00:00.000"),
+    ("2024-W01-1", "2024-01-01 00:00:00.000"), ("2021W537", None), ("2020-W53", "2020-12-28 00:00:00.000"),
+    ("2024W017", "2024-01-07 00:00:00.000"), ("99 Jan 2024 10:00:00 GMT", None), ("1 Foo 2024 10:00:00 GMT", None),
+    ("20241301100000", None), ("12345678", None), ("tomorrow", None),
+])
+def test_more_best_effort_times(evaluate, text, day_time):
+    shown = lambda c: F.date_format(times.parse_best_effort_ms(c), "yyyy-MM-dd HH:mm:ss.SSS")
+    assert evaluate([text], shown) == [day_time]
