@@ -22,6 +22,8 @@ HEADLINES = [
     "calculate_funnel", "calculate_funnel_long_window", "readonly_sql",
     "serving_projection", "distinct_rows", "dedupe_latest", "base_model", "promote_fields",
     "flatten_raw", "dedupe_window", "validate_envelope", "batch_limits", "geo_enrich", "collect_to_raw",
+    # Paths that write.
+    "load_hour", "reload_corrected_hour", "land_raw", "dedupe_stream",
 ]
 
 
