@@ -7,7 +7,11 @@ dedupe_window   resends within a time window (batch form; see streaming.dedupe)
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallystream.functions.json_text import safe_int
@@ -34,15 +38,34 @@ def dedupe_latest(rows: DataFrame) -> DataFrame:
     return rows.withColumn("_rank", F.row_number().over(latest)).where("_rank = 1").drop("_rank")
 
 
-def kept_seconds(start: Column, seconds: Column, window: int) -> Column:
-    """Ascending seconds after a kept `start` -> those kept in turn."""
+def walk_runs(later: DataFrame, keys: list[str], window: int) -> DataFrame:
+    """Seconds kept in turn after the openers of long runs, as (keys, _second).
 
-    def step(kept: Column, second: Column) -> Column:
-        fresh = F.element_at(kept, -1) + window <= second
-        return F.when(fresh, F.concat(kept, F.array(second))).otherwise(kept)
+    Each run is read in order of time and held a batch of rows at a time, so its length does not
+    matter; different runs of a key may be walked by different tasks.
+    """
 
-    walked = F.aggregate(seconds, F.array(start), step)
-    return F.slice(walked, F.lit(2), F.size(walked))
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, last = None, 0
+        for batch in batches:
+            seconds, runs = batch.column("_second").to_numpy(), batch.column("_run").dictionary_encode()
+            codes = runs.indices.to_numpy()
+            starts = np.flatnonzero(np.diff(codes, prepend=-1))
+            kept = []
+            for start, end in zip(starts, [*starts[1:], len(codes)], strict=True):
+                run = runs.dictionary[int(codes[start])].as_py()
+                if run != current:
+                    current, last = run, batch.column("_opener")[int(start)].as_py()
+                at = start + np.searchsorted(seconds[start:end], last + window)
+                while at < end:
+                    kept.append(at)
+                    last = int(seconds[at])
+                    at = start + np.searchsorted(seconds[start:end], last + window)
+            yield batch.select([*keys, "_second"]).take(pa.array(kept, pa.int64()))
+
+    named = later.select(*keys, "_opener", "_second", F.to_json(F.struct(*keys, "_opener")).alias("_run"))
+    ordered = named.repartition("_run").sortWithinPartitions("_run", "_second")
+    return ordered.mapInArrow(walk, later.select(*keys, "_second").schema)
 
 
 def dedupe_window(
@@ -94,12 +117,7 @@ def dedupe_window(
     )
     openers = runs.where("_second = _opener")
     later = runs.where(F.col("_second") >= F.col("_opener") + window)
-    walked = (
-        later.groupBy(*keys, "_opener")
-        .agg(F.array_sort(F.collect_list("_second")).alias("_seconds"))
-        .select(
-            *keys, F.explode(kept_seconds(F.col("_opener"), F.col("_seconds"), window)).alias("_second")
-        )
-    )
-    kept_later = later.join(walked, [*keys, "_second"], "left_semi")
+    walked = walk_runs(later, keys, window)
+    same = [later[c].eqNullSafe(walked[c]) for c in (*keys, "_second")]
+    kept_later = later.join(walked, same, "left_semi")
     return openers.unionByName(kept_later).drop("_second", "_opener")

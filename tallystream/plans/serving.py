@@ -79,13 +79,13 @@ def write_serving(rows: DataFrame, root: str, hours: Sequence[str]) -> None:
 
     Rows are written beside the table first and then moved in, hour by hour, so a reader misses
     an hour for a rename at most, and a load that failed is simply run again. Rebalancing by the
-    leading sort columns keeps an app's and a name's rows in few files, so that row-group
-    statistics skip the rest, and AQE splits a group that is too large for one task.
+    folder gives a small hour one file, and AQE splits an hour that is too large for one task;
+    the rows of a file are sorted, so that row-group statistics skip other apps and names.
     """
     spark = rows.sparkSession
     staged = f"{root}/_loading-{uuid.uuid4().hex}"
     (
-        rows.hint("rebalance", "load_hour", "event_date", "app_id", "environment", "event_name")
+        rows.hint("rebalance", "load_hour", "event_date")
         .sortWithinPartitions("load_hour", "event_date", *[c for c in SERVING_SORT if c != "event_date"])
         .write.partitionBy("load_hour", "event_date")
         .parquet(staged)

@@ -13,6 +13,8 @@ from tallystream.registry import register
 from tallystream.registry.fixture import RANGES, RAW_CTE, REQUESTS_CTE, duck, keys, ranges, raw_rows, requests
 from tallystream.session import scratch_path
 from tallystream.sources.requests import read_requests
+from tallystream.sources.stores import scan_raw
+from tallystream.streaming.collect import collect_stream
 
 SALT = "pepper"
 MAX_BYTES, MAX_EVENTS = 16_000, 37
@@ -269,6 +271,29 @@ def _(spark, sf):
     )
 
 
+@register(
+    "collect_stream",
+    f"""with {OUT_CTE} select json_extract_string(e, '$.app_id') as app_id, json_extract_string(e, '$.event_id') as event_id,
+      cast(2 as bigint) as n from outgoing group by all""",
+)
+def _(spark, sf):
+    """Requests that are sent again within the window and once more after it, streamed through to the raw layer."""
+    root = scratch_path(spark, "collect_stream")
+    for part, times in enumerate((["0 minutes"], ["5 minutes", "1 hour"])):
+        for later in times:
+            sent = requests(spark, sf).withColumns({
+                "request_id": F.concat_ws(" after ", "request_id", F.lit(later)),
+                "received_at": F.col("received_at") + F.expr(f"interval {later}"),
+            })
+            sent.write.mode("append").json(f"{root}/log/part={part}")
+        log = read_requests(spark, f"{root}/log/part=*", stream=True)
+        collect_stream(
+            log, keys(spark, sf), ranges(spark, sf), f"{root}/raw", f"{root}/state", f"{root}/checkpoint",
+            every_seconds=None, salt=SALT,
+        ).awaitTermination()
+    return scan_raw(spark, f"{root}/raw").groupBy("app_id", "event_id").agg(F.count("*").alias("n"))
+
+
 @register(
     "ip_key",
     r"""select lo_ip, case when lo_ip like '%.%' then '00000000000000000000ffff' || lower(

@@ -7,12 +7,51 @@ against that table of recent keys, so all the work stays in joins and windows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tallystream.operators.dedupe import dedupe_window
 from tallystream.schemas import DEDUP_WINDOW_SECONDS
+from tallystream.sources import folders
+from tallystream.streaming.landing import trigger
+
+
+def dedupe_batch(
+    batch: DataFrame,
+    number: int,
+    root: str,
+    window: int = DEDUP_WINDOW_SECONDS,
+    keys: tuple[str, ...] = ("app_id", "event_id"),
+    at: str = "published_at",
+    order: tuple[str, ...] = ("sequence",),
+    remember_seconds: int | None = None,
+    sink: Callable[[DataFrame, int], None] | None = None,
+) -> None:
+    """Micro-batch `number` of `dedupe_stream`. It reads `batch` twice."""
+    spark, remember = batch.sparkSession, remember_seconds or 2 * window
+    span = batch.agg(F.max(at).alias("newest"), F.unix_timestamp(F.min(at)).alias("oldest")).first()
+    timed = batch.withColumn(at, F.coalesce(F.col(at), F.lit(span.newest), F.timestamp_seconds(F.lit(0))))
+    schema = ", ".join(f"{k} string" for k in keys) + ", kept_at bigint"
+    recent = spark.read.schema(schema).parquet(f"{root}/recent/slot={(number - 1) % 2}") if number else None
+    kept_path = f"{root}/kept/batch={number}"
+    dedupe_window(timed, window, keys, at, order, recent).write.mode("overwrite").parquet(kept_path)
+    kept = spark.read.schema(batch.schema).parquet(kept_path)
+    if sink is not None:
+        sink(kept, number)
+        folders.remove(spark, f"{root}/kept/batch={number - 1}")
+    seen = kept.select(*keys, F.unix_timestamp(at).alias("kept_at"))
+    if recent is not None:
+        seen = seen.unionByName(recent)
+    (
+        seen.where(F.col("kept_at") > (span.oldest or 0) - remember)
+        .groupBy(*keys)
+        .agg(F.max("kept_at").alias("kept_at"))
+        .write.mode("overwrite")
+        .parquet(f"{root}/recent/slot={number % 2}")
+    )
 
 
 def dedupe_stream(
@@ -25,6 +64,7 @@ def dedupe_stream(
     order: tuple[str, ...] = ("sequence",),
     remember_seconds: int | None = None,
     every_seconds: int | None = None,
+    sink: Callable[[DataFrame, int], None] | None = None,
 ) -> StreamingQuery:
     """Write kept messages to root/kept/batch=<n>; recent keys live in root/recent.
 
@@ -35,39 +75,20 @@ def dedupe_stream(
     future makes it forget nothing. Two slots
     take turns: batch n reads what n - 1 wrote and overwrites what n - 2 wrote, so a
     micro-batch that fails half-way is simply run again.
-    """
-    remember = remember_seconds or 2 * window
-
-    def run(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        span = batch.agg(F.max(at).alias("newest"), F.unix_timestamp(F.min(at)).alias("oldest")).first()
-        timed = batch.withColumn(at, F.coalesce(F.col(at), F.lit(span.newest), F.timestamp_seconds(F.lit(0))))
-        schema = ", ".join(f"{k} string" for k in keys) + ", kept_at bigint"
-        recent = (
-            spark.read.schema(schema).parquet(f"{root}/recent/slot={(number - 1) % 2}") if number else None
-        )
-        kept_path = f"{root}/kept/batch={number}"
-        dedupe_window(timed, window, keys, at, order, recent).write.mode("overwrite").parquet(kept_path)
-        kept = spark.read.schema(batch.schema).parquet(kept_path)
-        seen = kept.select(*keys, F.unix_timestamp(at).alias("kept_at"))
-        if recent is not None:
-            seen = seen.unionByName(recent)
-        (
-            seen.where(F.col("kept_at") > (span.oldest or 0) - remember)
-            .groupBy(*keys)
-            .agg(F.max("kept_at").alias("kept_at"))
-            .write.mode("overwrite")
-            .parquet(f"{root}/recent/slot={number % 2}")
-        )
 
-    trigger = {"availableNow": True} if every_seconds is None else {"processingTime": f"{every_seconds} seconds"}
+    `sink` gets what each batch kept, and its number; one that has landed needs no folder any
+    more, so only the last stays. A batch that runs again calls it again.
+    """
     return (
-        messages.writeStream.foreachBatch(run)
+        messages.writeStream.foreachBatch(
+            lambda batch, n: dedupe_batch(batch, n, root, window, keys, at, order, remember_seconds, sink)
+        )
         .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
+        .trigger(**trigger(every_seconds))
         .start()
     )
 
 
 def read_kept(spark, root: str, schema) -> DataFrame:
+    """What all batches kept, of a stream without a sink."""
     return spark.read.schema(schema).parquet(f"{root}/kept/batch=*")

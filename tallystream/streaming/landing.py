@@ -16,10 +16,38 @@ from tallystream.sources import folders
 from tallystream.sources.stores import scan_raw_hours
 
 
-def _trigger(every_seconds: int | None) -> dict:
+def trigger(every_seconds: int | None) -> dict:
+    """A trigger that drains and stops (None), or one that goes on."""
     return {"availableNow": True} if every_seconds is None else {"processingTime": f"{every_seconds} seconds"}
 
 
+def stream_name(checkpoint: str) -> str:
+    """Short name of the stream that has this checkpoint."""
+    return f"s{zlib.crc32(checkpoint.encode()):08x}"
+
+
+def land_batch(batch: DataFrame, root: str, stream: str, number: int, max_rows_per_file: int = 0) -> None:
+    """Append a micro-batch's decodable messages to the raw layer, once however often it runs.
+
+    It is written beside the layer as a batch landing writes it (small partitions one file, large
+    ones as many as they fill) and then moved in under names that tell the stream and the batch.
+    Once it is written whole, a batch that runs again after a failure only moves what is still to
+    be moved, and a mark tells that all was. The layer keeps no log of the stream (one mark, the
+    last batch's), and batch landings and other streams may write to it too.
+    """
+    spark, mark = batch.sparkSession, f"{stream}-{number:010d}"
+    staged, landed = f"{root}/_landing-{mark}", f"{root}/_landed-{mark}"
+    if folders.exists(spark, landed):
+        return
+    if not folders.exists(spark, f"{staged}/_SUCCESS"):
+        rows = partitioned_raw(flatten_raw(batch.where(decodable(F.col("value")))))
+        land_raw(rows, staged, max_rows_per_file, mode="overwrite")
+    files = [f.rsplit("/", 1) for f in folders.leaf_files(spark, staged)]
+    folders.move(spark, [(f"{staged}/{folder}/{name}", f"{root}/{folder}/{mark}-{name}") for folder, name in files])
+    folders.make(spark, landed)
+    folders.remove(spark, staged, f"{root}/_landed-{stream}-{number - 1:010d}")
+
+
 def land_stream(
     messages: DataFrame,
     root: str,
@@ -29,32 +57,13 @@ def land_stream(
 ) -> StreamingQuery:
     """Append decodable messages to the raw layer, micro-batch by micro-batch.
 
-    A micro-batch is written beside the layer as a batch landing writes it (small partitions one
-    file, large ones as many as they fill) and then moved in under names that tell the stream and
-    the batch. Once it is written whole, a batch that runs again after a failure only moves what
-    is still to be moved, and a mark tells that all was, so each message lands once. The layer
-    keeps no log of the stream (one mark, the last batch's), and batch landings and other streams
-    may write to it too. every_seconds=None drains what is there and stops.
+    every_seconds=None drains what is there and stops.
     """
-    stream = f"s{zlib.crc32(checkpoint.encode()):08x}"
-
-    def land(batch: DataFrame, number: int) -> None:
-        spark, mark = batch.sparkSession, f"{stream}-{number:010d}"
-        staged, landed = f"{root}/_landing-{mark}", f"{root}/_landed-{mark}"
-        if folders.exists(spark, landed):
-            return
-        if not folders.exists(spark, f"{staged}/_SUCCESS"):
-            rows = partitioned_raw(flatten_raw(batch.where(decodable(F.col("value")))))
-            land_raw(rows, staged, max_rows_per_file, mode="overwrite")
-        files = [f.rsplit("/", 1) for f in folders.leaf_files(spark, staged)]
-        folders.move(spark, [(f"{staged}/{folder}/{name}", f"{root}/{folder}/{mark}-{name}") for folder, name in files])
-        folders.make(spark, landed)
-        folders.remove(spark, staged, f"{root}/_landed-{stream}-{number - 1:010d}")
-
+    stream = stream_name(checkpoint)
     return (
-        messages.writeStream.foreachBatch(land)
+        messages.writeStream.foreachBatch(lambda batch, n: land_batch(batch, root, stream, n, max_rows_per_file))
         .option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(every_seconds))
+        .trigger(**trigger(every_seconds))
         .start()
     )
 
@@ -68,7 +77,7 @@ def dead_letters_stream(
         .writeStream.format("json")
         .option("path", root)
         .option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(every_seconds))
+        .trigger(**trigger(every_seconds))
         .start()
     )
 
@@ -103,6 +112,6 @@ def load_stream(
     return (
         arrivals.writeStream.foreachBatch(reload_hours)
         .option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(every_seconds))
+        .trigger(**trigger(every_seconds))
         .start()
     )

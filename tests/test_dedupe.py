@@ -1,8 +1,10 @@
 from __future__ import annotations
 
 import random
+from contextlib import suppress
 from datetime import UTC, datetime, timedelta
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tallystream.operators.dedupe import dedupe_latest, dedupe_window, distinct_rows
@@ -44,6 +46,21 @@ def test_window_equals_a_walk(spark):
         assert sorted(r["body"] for r in got.collect()) == walk(rows, 600)
 
 
+def test_a_run_longer_than_a_batch_of_rows(spark):
+    """Every second of a quarter of a day, once with and once without an id."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    try:
+        every = spark.range(21_600).select(
+            F.lit("a").alias("app_id"), F.lit("hot").alias("event_id"),
+            F.timestamp_seconds(F.lit(1_704_067_200) + F.col("id")).alias("published_at"),
+            F.col("id").cast("string").alias("sequence"), F.col("id").cast("string").alias("body"))
+        rows = every.unionByName(every.withColumn("event_id", F.lit(None).cast("string")))
+        got = dedupe_window(rows, 600).groupBy("event_id").agg(F.collect_list("body").alias("kept")).collect()
+        assert {r.event_id: sorted(map(int, r.kept)) for r in got} == dict.fromkeys(["hot", None], list(range(0, 21_600, 600)))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
 def test_stream_equals_batch(spark, tmp_path):
     rows = sorted(resends(7), key=lambda r: r[2])
     size = len(rows) // 5 + 1
@@ -56,6 +73,24 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sorted(r["body"] for r in got.collect()) == walk(rows, 600)
 
 
+def test_a_sink_that_fails_gets_the_same_batch_again(spark, tmp_path):
+    rows = resends(11)
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/log")
+    got = []
+
+    def sink(kept, number):
+        got.append((number, sorted(r["body"] for r in kept.collect())))
+        if len(got) == 1:
+            raise OSError("lost")
+
+    for _ in range(2):
+        log = spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/log")
+        query = dedupe_stream(log, f"{tmp_path}/out", f"{tmp_path}/checkpoint", sink=sink)
+        with suppress(StreamingQueryException):
+            query.awaitTermination()
+    assert got == [(0, walk(rows, 600))] * 2
+
+
 def test_latest_prefers_receive_time_then_sequence_then_the_rest(spark):
     t = [START + timedelta(hours=i) for i in range(3)]
     rows = [
