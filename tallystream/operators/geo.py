@@ -75,11 +75,13 @@ def with_country(rows: DataFrame, ranges: DataFrame, ip: str = "client_ip") -> D
     """Add geo_name and geo_code for the range holding `ip`; NULL when none does. Every address
     is looked up once, however many rows it has; of nested ranges the narrowest block counts."""
     rows = rows.withColumn("_key", ip_key(F.col(ip)))
-    asked = rows.select("_key").where(F.col("_key").isNotNull()).distinct()
+    # No test for NULL keys, here or by the last join: it would be pushed below the parsing of
+    # addresses and done for every row beneath. NULL keys have no prefixes and so find nothing.
+    asked = rows.select("_key").distinct()
     lengths = F.sequence(F.lit(0), F.lit(KEY_DIGITS))
     asked = asked.select("_key", F.explode(F.transform(lengths, lambda n: _head(F.col("_key"), n))).alias("prefix"))
     found = asked.join(network_table(ranges), "prefix").groupBy("_key").agg(
         F.max_by(F.struct("geo_name", "geo_code"), F.length("prefix")).alias("_found"))
     found = found.withColumnRenamed("_key", "_of")
-    joined = rows.join(found, rows["_key"] == found["_of"], "left")
+    joined = rows.join(found, rows["_key"].eqNullSafe(found["_of"]), "left")
     return joined.withColumns({"geo_name": F.col("_found.geo_name"), "geo_code": F.col("_found.geo_code")}).drop("_key", "_of", "_found")
