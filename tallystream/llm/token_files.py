@@ -10,7 +10,8 @@ sequence follows from its number, and a memory-mapped file serves it without cop
 so that even one id with a third of all rows is spread), encodes them, and writes one file a
 partition. It returns the index of documents; `read_tokens` adds what the files hold.
 
-Cases: NULL and empty texts are documents of one id, the end id; a NULL doc_id sorts first;
+Cases: NULL and empty texts are documents of one id, the end id; the string of an added token
+becomes its id wherever it stands in a text; a NULL doc_id sorts first;
 repeated rows each get their own span; an empty table gives an empty index; other columns
 are not carried. A lost task writes its file anew under another name, and the index names the
 files of the tasks that counted.
@@ -19,6 +20,7 @@ files of the tasks that counted.
 from __future__ import annotations
 
 import os
+import re
 from functools import lru_cache
 
 import numpy as np
@@ -118,9 +120,22 @@ def tokenizer_of(path: str):
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True  # the strings of special tokens are ordinary text
-    return tokenizer
+    return Tokenizer.from_file(path)
+
+
+@lru_cache(2)
+def added_tokens(path: str) -> tuple[dict[bytes, int], re.Pattern | None, re.Pattern | None]:
+    """Ids of the added tokens that stand wherever their string does, and patterns of these and of
+    all others (those that take blanks with them, ask for whole words or for normalized text)."""
+    plain, other = {}, []
+    for id_, token in tokenizer_of(path).get_added_tokens_decoder().items():
+        if text := token.content.encode():
+            if token.lstrip or token.rstrip or token.single_word or token.normalized:
+                other.append(text)
+            else:
+                plain[text] = id_
+    either = lambda texts: re.compile(b"|".join(map(re.escape, sorted(texts, key=len, reverse=True)))) if texts else None
+    return plain, either(plain), either(other)
 
 
 @lru_cache(2)
@@ -136,6 +151,35 @@ def library_ids(path: str) -> PieceIds:
     return PieceIds(encode, limit=1 << 21)
 
 
+def text_ids(path: str, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all rows end to end, and how many each row has, as the library encodes whole texts:
+    texts are cut at added tokens first, and what lies between is text of its own. A text with
+    an added token that is more than its string goes to the library whole."""
+    ids_of, plain, other = added_tokens(path)
+    text = memoryview(data)
+    rows = [(r, a, b) for r, (a, b) in enumerate(zip(offsets[:-1].tolist(), offsets[1:].tolist()))]
+    found = [m for _, a, b in rows for m in plain.finditer(text, a, b)] if plain and plain.search(text) else []
+    begin, end = (np.array([f(m) for m in found], np.int64) for f in (re.Match.start, re.Match.end))
+    cuts = np.unique(np.concatenate([offsets, begin, end]))
+    ids, counts = library_ids(path).of_rows(data, cuts)
+    if found:
+        part = np.searchsorted(cuts, begin)
+        between = np.ones(len(counts), bool)
+        between[part] = False
+        ids = ids[np.repeat(between, counts)]
+        counts[part] = 0
+        ids = np.insert(ids, np.cumsum(counts)[part], [ids_of[m[0]] for m in found])
+        counts[part] = 1
+    total = np.append(0, np.cumsum(counts))[np.searchsorted(cuts, offsets)]
+    if other and other.search(text):
+        parts = np.split(ids, total[1:-1])
+        for r, a, b in rows:
+            if other.search(text, a, b):
+                parts[r] = np.array(tokenizer_of(path).encode(bytes(text[a:b]).decode(), add_special_tokens=False).ids, np.int32)
+        return np.concatenate(parts), np.fromiter(map(len, parts), np.int64, len(parts))
+    return ids, np.diff(total)
+
+
 def with_end(ids: np.ndarray, counts: np.ndarray, end_id: int) -> tuple[np.ndarray, np.ndarray]:
     """Every row's ids with one more at its end."""
     return np.insert(ids, np.cumsum(counts), end_id), counts + 1
@@ -151,9 +195,10 @@ def write_tokens(docs: DataFrame, root: str, tokenizer_path: str, end_id: int,
         shard, name = task.partitionId(), f"shard-{task.partitionId():06d}-{task.taskAttemptId()}.arrows"
         system, folder = open_root(root)
         writer, offset = None, 0
-        kind = id_type(max(tokenizer_of(tokenizer_path).get_vocab_size(), end_id + 1))
+        most = max([end_id, *tokenizer_of(tokenizer_path).get_added_tokens_decoder()])
+        kind = id_type(max(tokenizer_of(tokenizer_path).get_vocab_size(), most + 1))
         for batch in small_batches(batches, "text"):
-            ids, counts = library_ids(tokenizer_path).of_rows(*text_buffer(batch.column("text")))
+            ids, counts = text_ids(tokenizer_path, *text_buffer(batch.column("text")))
             ids, counts = with_end(ids, counts, end_id)
             if writer is None:
                 system.create_dir(folder, recursive=True)

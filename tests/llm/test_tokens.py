@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import hashlib
+import json
 import random
 import zlib
 
@@ -14,6 +15,7 @@ import pytest
 import regex
 import tiktoken
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tallystream.llm import bpe, pieces, queries, token_counts, token_files
 from tallystream.llm.columns import ranges, text_buffer
@@ -157,6 +159,35 @@ def test_token_file_cases(spark, tokenizer, tmp_path):
     assert empty.count() == 0 and token_files.shard_starts(empty).count() == 0
 
 
+def test_added_tokens_are_those_of_the_whole_text(spark, tmp_path):
+    path, mark = public_tokenizers.path("byte_bpe_50k.json"), "<|endoftext|>"
+    pieces_ = [mark, mark, "<|endoftext", "|>", "don", "'t", " ", "  ", "\n", "漢", "word", "12", "<|pad|>", "<|pad|>x"]
+    draw = random.Random(11)
+    texts = ["".join(draw.choice(pieces_) for _ in range(draw.randint(0, 9))) for _ in range(400)]
+    texts += [mark, "", f"a {mark} b", f"a  {mark}{mark}  b", "<|endo", "ftext|> over two rows", ("long words " * 90_000 + mark) * 3]
+    with open(path) as file:
+        spec = json.load(file)
+    # An overlapping longer token, one that takes the blanks before it, one for whole words.
+    for content, flags in (("<|endoftext|>|>", {}), ("<|pad|>", {"lstrip": True}), ("word", {"single_word": True})):
+        spec["added_tokens"].append(dict.fromkeys(("single_word", "lstrip", "rstrip", "normalized"), False)
+                                    | {"id": 50254 + len(spec["added_tokens"]) * 3, "content": content, "special": True} | flags)
+    (tmp_path / "more.json").write_text(json.dumps(spec))
+    for name in (path, str(tmp_path / "more.json")):
+        library = Tokenizer.from_file(name)
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert any(50256 in ids for ids in want)
+        ids, counts = token_files.text_ids(name, *text_buffer(pa.array(texts)))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    library = Tokenizer.from_file(path)
+    index = token_files.write_tokens(docs, str(tmp_path / "t"), path, 2)
+    rows = index.collect()
+    assert len(rows) == len(texts)
+    for row in rows:
+        ids = library.encode(texts[row.doc_id], add_special_tokens=False).ids + [2]
+        assert token_files.TokenFile(row.file).span(row.offset, row.n_tokens).tolist() == ids
+
+
 def counted(text, sections, rule, library):
     """Tokens of each section, one token at a time."""
     raw, at = text.encode(), 0
