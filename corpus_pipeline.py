@@ -6,8 +6,9 @@ of `documents` (doc_id, text, lang, source, n_chars).
 
 Cases: NULL and empty texts go in the first stage, as documents of too few words; NULL ids,
 languages and sources stay as they are; columns beyond those of `documents` are dropped;
-repeated rows are near duplicates of each other, of which one stays; an empty table gives an
-empty result.
+repeated rows are near duplicates of each other, of which one stays; rows that share an id or
+have none, but not their text, are compared by their texts; rows without id and words all stay;
+an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,11 +35,20 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of similar ones: the smallest id."""
-    groups = jaccard_join.similar_groups(docs.select("doc_id", "text"), scratch_path(spark, "pipeline-groups"))
-    first = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("_first")).distinct()
-    kept = docs.join(first, docs["doc_id"].eqNullSafe(first["_first"])).select(*COLUMNS)
-    return kept.dropDuplicates(["doc_id"])
+    """One row of each group of similar ones: the smallest id, one without an id only if none has
+    one, and of one id the smallest hash. Rows without words are like no other."""
+    docs = docs.select(*COLUMNS)
+    groups = jaccard_join.row_groups(docs.select("doc_id", "text"), scratch_path(spark, "pipeline-groups"))
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "row_key")
+    first = groups.where("component is not null").groupBy("component").agg(F.min(order).alias("first"))
+    first = first.select(F.col("first.row_key").alias("_row"))
+    alone = groups.where("component is null and doc_id is not null").select(F.col("row_key").alias("_row")).distinct()
+    nameless = F.col("doc_id").isNull() & ~F.coalesce(F.col("text").rlike(r"[^ \t-\r]"), F.lit(False))
+    # Rows of one id and text are one, the smallest of them.
+    once = docs.where(~nameless).groupBy(jaccard_join.row_key().alias("_row")).agg(
+        F.min(F.struct("text", "lang", "source", "n_chars", "doc_id")).alias("_least"))
+    kept = once.join(first.unionByName(alone), "_row", "left_semi").select("_least.*").select(*COLUMNS)
+    return kept.unionByName(docs.where(nameless))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,10 +1,11 @@
 """N-gram Jaccard join: linked groups of documents over a token-group matrix.
 
 Documents link when their sets of word shingles have a Jaccard similarity of `PERCENT` or
-more. Equal sets are one class from the start. Then:
+more. Equal sets are one class from the start; classes are numbered in the order of their
+smallest ids, and these numbers, not the ids, are what is linked. Then:
 
 1. Partition. Documents that agree on a band of `ROWS` min-hashes fall together, and the
-   smallest id of those leads. A document belongs to the groups of its leaders, a few. A pair
+   first of those leads. A document belongs to the groups of its leaders, a few. A pair
    at the threshold agrees on none of the `BANDS` bands, and is lost, with a chance of
    (1 - 0.75^4)^56 = 6e-10, of a pair above it with less.
 2. Every member is compared with its leaders, exactly: a number of comparisons that grows with
@@ -21,17 +22,19 @@ A hot leader is split over as many tasks as its members fill; sets, links and co
 in tables of the shared folder. Texts are hashed again where two are compared, so sets are
 never shuffled.
 
-Cases: texts without words have no set and link with nothing; NULL ids count as one document
-with the smallest id, and come back as NULL; rows that repeat a doc_id are one document with
-several texts, linked to whatever one of them links; an empty table gives an empty table;
-shingles are compared by 64-bit hashes.
+Cases: texts without words have no set and link with nothing; every row with a NULL id is a
+document of its own, and its component has the smallest id of the others in it, NULL if there
+is none; rows that repeat a doc_id are one document with several texts in the component_id,
+linked to whatever one of them links, but texts of their own in `row_groups`; an empty table
+gives an empty table; shingles are compared by 64-bit hashes, rows known by 128 bits of their
+id and text.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystream.llm.columns import lists, map_arrow, plain_text, small_batches, spread
@@ -44,7 +47,6 @@ PERCENT = 75
 BANDS, ROWS = 56, 4
 LEAD_CHUNK = 512  # members that one task-local run compares with a leader
 CELL_CHUNK = 256  # documents of one side of a cell
-NULL_ID = -(1 << 63)
 
 SALTS = mixed(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
 FACTORS = mixed(np.arange(1001, 1001 + BANDS * ROWS, dtype=np.uint64)) | np.uint64(1)
@@ -60,8 +62,14 @@ def band_keys(values: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return keys
 
 
+def row_key() -> Column:
+    """128 bits of doc_id and text, NULL texts as empty ones; rows that are equal in both share it."""
+    doc = F.coalesce(F.col("doc_id").cast("long").cast("string"), F.lit("NULL"))
+    return F.unhex(F.md5(F.concat(doc, F.lit(" "), F.coalesce(F.col("text").cast("string"), F.lit("")))))
+
+
 def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, size and 128-bit hash of the set, and the keys of its bands."""
+    """doc_id, row_key, size and 128-bit hash of the set, and the keys of its bands."""
 
     def run(batches):
         for batch in small_batches(batches, "text"):
@@ -75,26 +83,28 @@ def sketches(docs: DataFrame) -> DataFrame:
             count = np.where(sizes > 0, BANDS, 0)
             keys = band_keys(values, sizes).view(np.int64).ravel()
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(sizes), *(pa.array(h.view(np.int64)) for h in halves), lists(keys, count)],
-                names=["doc_id", "n", "h1", "h2", "keys"])
+                [batch.column("doc_id"), batch.column("row_key"), pa.array(sizes), *(pa.array(h.view(np.int64)) for h in halves), lists(keys, count)],
+                names=["doc_id", "row_key", "n", "h1", "h2", "keys"])
 
-    return map_arrow(docs, run, "doc_id long, n long, h1 long, h2 long, keys array<long>")
+    return map_arrow(docs, run, "doc_id long, row_key binary, n long, h1 long, h2 long, keys array<long>")
 
 
 def linked(common: int | np.ndarray, one: int | np.ndarray, other: int | np.ndarray):
     return 100 * common >= PERCENT * (one + other - common)
 
 
-def texts_of(docs: DataFrame, members: DataFrame) -> DataFrame:
-    """The texts of all members and leaders. The whole corpus is dealt out for this once, by a
-    merge join whatever the sizes, and only what is compared goes on."""
+def texts_of(docs: DataFrame, classes: DataFrame, members: DataFrame) -> DataFrame:
+    """node and text of all members and leaders. The whole corpus is dealt out for this once, equal
+    rows as one, by a merge join whatever the sizes, and only what is compared goes on."""
     wanted = members.select("doc").unionByName(members.select(F.col("leader").alias("doc"))).distinct()
-    return docs.join(wanted.hint("merge"), docs["doc_id"] == wanted["doc"], "left_semi")
+    wanted = classes.select("doc", "row_key").join(wanted, "doc")
+    once = docs.groupBy("row_key").agg(F.first("text").alias("text"))
+    return once.join(wanted.hint("merge"), "row_key").select(F.col("doc").alias("node"), "text")
 
 
-def with_texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+def with_texts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
     """The texts of the documents in `wanted` (doc, ..), a row for each of its rows."""
-    return docs.join(wanted, docs["doc_id"] == wanted["doc"]).drop("doc_id")
+    return texts.join(wanted, texts["node"] == wanted["doc"]).drop("node")
 
 
 def star_links(docs: DataFrame, members: DataFrame) -> DataFrame:
@@ -226,31 +236,52 @@ def stray_links(docs: DataFrame, members: DataFrame, labels: DataFrame) -> DataF
     return map_arrow(dealt.select("leader", "i", "j", "doc", "own", "side", "text"), run, "a long, b long")
 
 
-def similar_groups(docs: DataFrame, scratch: str) -> DataFrame:
-    """doc_id, n_shingles and component_id of every row of docs (doc_id, text).
+def row_groups(docs: DataFrame, scratch: str) -> DataFrame:
+    """doc_id, row_key, n_shingles and component (a number, NULL for a text without words) of every
+    row of docs (doc_id, text), each a document of its own whatever its id.
     scratch: a folder all executors share, not used before."""
-    docs = plain_text(docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NULL_ID)).alias("doc_id"), "text"), "text")
+    docs = plain_text(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), "text")
+    docs = docs.select("doc_id", row_key().alias("row_key"), "text")
     sketched = written(sketches(docs), join(scratch, "sketches"))
-    # One document for each set; equal sets have equal keys.
+    # One document for each set; equal sets have equal keys. Numbers are given as the table is written.
     classes = sketched.where("n > 0").groupBy("h1", "h2", "n").agg(
-        F.min("doc_id").alias("doc"), F.first("keys").alias("keys"))
-    classes = written(classes, join(scratch, "classes"))
+        F.min(F.struct("doc_id", "row_key")).alias("least"), F.first("keys").alias("keys"))
+    classes = classes.select("h1", "h2", "n", "least.doc_id", "least.row_key", "keys")
+    classes = classes.repartitionByRange("doc_id", "row_key").sortWithinPartitions("doc_id", "row_key")
+    classes = written(classes.withColumn("doc", F.monotonically_increasing_id()), join(scratch, "classes"))
     bands = classes.select("doc", F.explode("keys").alias("key"))
     leaders = bands.groupBy("key").agg(F.min("doc").alias("leader"))
     members = bands.join(leaders, "key").where("doc <> leader").select("leader", "doc").distinct()
     members = written(members, join(scratch, "members"))
 
-    texts = written(texts_of(docs, members), join(scratch, "texts"))
+    texts = written(texts_of(docs, classes, members), join(scratch, "texts"))
     stars = written(star_links(texts, members), join(scratch, "star-links"))
     labels = components(stars, join(scratch, "star-components"))
     strays = written(stray_links(texts, members, labels), join(scratch, "stray-links"))
+    labels = components(stars.unionByName(strays), join(scratch, "components"))
+
+    of = classes.select("h1", "h2", "n", "doc").join(labels, F.col("doc") == F.col("node"), "left")
+    of = of.select("h1", "h2", "n", F.coalesce("component", "doc").alias("component"))
+    rows = sketched.drop("keys").join(of, ["h1", "h2", "n"], "left")
+    rows = rows.select("doc_id", "row_key", F.col("n").alias("n_shingles"), "component")
+    return written(rows, join(scratch, "rows"))
 
-    # Rows of one set, and rows of one id, are linked to the class's document.
-    same = sketched.where("n > 0").select(F.col("doc_id"), "h1", "h2", "n").join(
-        classes.select("h1", "h2", "n", "doc"), ["h1", "h2", "n"])
-    copies = same.where("doc_id <> doc").select(F.col("doc_id").alias("a"), F.col("doc").alias("b"))
-    labels = components(stars.unionByName(strays).unionByName(copies), join(scratch, "components"))
-    back = lambda c: F.nullif(c, F.lit(NULL_ID))
-    return sketched.join(labels, sketched["doc_id"] == labels["node"], "left").select(
-        back(F.col("doc_id")).alias("doc_id"), F.col("n").alias("n_shingles"),
-        back(F.coalesce("component", "doc_id")).alias("component_id"))
+
+def similar_groups(docs: DataFrame, scratch: str) -> DataFrame:
+    """doc_id, n_shingles and component_id of every row of docs (doc_id, text).
+    scratch: a folder all executors share, not used before."""
+    rows = row_groups(docs, scratch).drop("row_key")
+    some = rows.where("component is not null")
+    # Components that hold texts of one id are one.
+    spans = some.where("doc_id is not null").groupBy("doc_id").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"))
+    bridges = some.join(spans.where("low < high"), "doc_id").select(F.col("component").alias("a"), F.col("low").alias("b"))
+    folded = components(bridges, join(scratch, "folds")).withColumnRenamed("component", "root")
+    least = some.groupBy("component").agg(F.min("doc_id").alias("least"))
+    least = least.join(folded, F.col("component") == F.col("node"), "left")
+    least = least.select("component", F.coalesce("root", "component").alias("root"), "least")
+    names = least.join(least.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("component", "component_id")
+    # A text without words goes where the other texts of its id are.
+    bare = rows.where("component is null").drop("component").join(spans.select("doc_id", F.col("low").alias("component")), "doc_id", "left")
+    return some.unionByName(bare).join(names, "component", "left").select(
+        "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))

@@ -201,6 +201,15 @@ def test_jaccard_join_cases(spark, tmp_path):
     assert {r.component_id for r in jaccard_join.similar_groups(twice, str(tmp_path / "c")).collect()} == {1}
 
 
+def test_rows_without_an_id_are_documents_of_their_own(spark, tmp_path):
+    a, b, c = (prose(i, 60) for i in (31, 32, 33))
+    rows = [(None, a), (None, b), (1, a + " end"), (2, b + " end"), (None, c), (3, c + " one two"), (4, ""), (5, ""), (5, b), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = jaccard_join.similar_groups(docs, str(tmp_path / "a")).collect()
+    want = [(None, 1), (None, 2), (1, 1), (2, 2), (None, 3), (3, 3), (4, 4), (5, 2), (5, 2), (None, None)]
+    assert sorted(((r.doc_id, r.component_id) for r in got), key=str) == sorted(want, key=str)
+
+
 def test_cells_open_what_the_matrix_allows():
     draw = random.Random(2)
     base = [set(draw.sample(range(10_000), 60)) for _ in range(6)]

@@ -107,5 +107,17 @@ def test_one_of_repeated_rows_stays(spark):
     assert sorted(map(str, ids_of(corpus_pipeline.near_duplicates(spark, documents(spark, rows), SF)))) == ["1", "None"]
 
 
+def test_rows_without_an_id_or_with_a_repeated_one_are_compared_by_text(spark):
+    a, b, c, d, e = (prose(i, 60) for i in (21, 22, 23, 24, 25))
+    rows = [(None, a, "en", "a", 1), (None, b, "en", "b", 1), (None, b, "de", "c", 1), (None, c + " end", "en", "a", 1), (3, c, "en", "a", 1),
+            (5, d, "en", "a", 1), (5, e, "en", "a", 1), (6, e + " end", "en", "a", 1), (7, e, "fr", "z", 1), (5, e, "de", "a", 1),
+            (None, "", "en", "a", 0), (None, "", "en", "a", 0), (None, None, "de", "a", 0), (8, "", "en", "a", 0), (8, "", "en", "a", 0)]
+    want = [(None, a, "en"), (None, b, "de"), (3, c, "en"), (5, d, "en"), (5, e, "de"),
+            (None, "", "en"), (None, "", "en"), (None, None, "de"), (8, "", "en")]
+    for given in (rows, rows[::-1]):
+        got = corpus_pipeline.near_duplicates(spark, documents(spark, given).repartition(5), SF).collect()
+        assert sorted(((r.doc_id, r.text, r.lang) for r in got), key=str) == sorted(want, key=str)
+
+
 def ids_of(df):
     return [r.doc_id for r in df.collect()]
