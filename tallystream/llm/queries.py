@@ -16,6 +16,7 @@ from tallystream.llm import (
     jaccard_join,
     language_id,
     line_dedup,
+    merkle,
     mixing,
     quality_rules,
     token_counts,
@@ -202,3 +203,20 @@ def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Size of every document's shingle set, and the smallest document it is linked to."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard_join.similar_groups(docs, scratch_path(spark, "jaccard"))
+
+
+@query(merkle.SQL)
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots and proof of every document; half of them are checked with their line breaks gone."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    tampered = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, F.lit(False))
+    without_breaks = F.when(tampered, F.replace("text", F.lit("\n"), F.lit(""))).otherwise(F.col("text"))
+    made = merkle.manifest(docs, scratch_path(spark, "manifest"), {"seen": merkle.leaf(text=without_breaks)})
+    folded = made.withColumn("folded_root", merkle.fold(F.col("seen"), F.col("path")))
+    digests = ("leaf", "subroot", "root", "folded_root")
+    return folded.select(
+        "doc_id",
+        *(merkle.hex_text(F.col(c)).alias(c) for c in digests),
+        merkle.hex_text(merkle.proof_digest(F.col("path"))).alias("proof_sha256"),
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
