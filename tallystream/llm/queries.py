@@ -13,11 +13,13 @@ from pyspark.sql import functions as F
 
 from tallystream.llm import (
     bpe,
+    hnsw,
     jaccard_join,
     language_id,
     line_dedup,
     merkle,
     mixing,
+    negatives,
     quality_rules,
     token_counts,
     token_files,
@@ -220,3 +222,43 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         merkle.hex_text(merkle.proof_digest(F.col("path"))).alias("proof_sha256"),
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+@query()
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows found for every vector whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").cast("long"), hnsw.plain_vector(F.col("embedding")).alias("vector"))
+    index = hnsw.make_index(vectors, scratch_path(spark, "graphs"), 20)
+    return hnsw.search(index, vectors.where("vec_id % 20 = 0").withColumnRenamed("vec_id", "query_id"), 20)
+
+
+@query(
+    """
+    with e as (
+      select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+        list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v
+      from embeddings
+      where label is not null and embedding is not null
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+    s as (
+      select a.vec_id as anchor_id, c.vec_id, a.label = c.label as same,
+        cast(list_inner_product(a.v::double[], c.v::double[]) as bigint) as score
+      from e a join e c on a.vec_id % 100 = 0 and a.vec_id <> c.vec_id),
+    p as (
+      select anchor_id, vec_id as positive_id, score as positive_score
+      from s where same qualify row_number() over (partition by anchor_id order by score desc, vec_id) <= 5)
+    select anchor_id, positive_id,
+      cast(row_number() over (partition by anchor_id, positive_id order by score desc, vec_id) as integer) as rank,
+      vec_id as negative_id, positive_score, score as negative_score
+    from p join s using (anchor_id)
+    where not same and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score
+    qualify rank <= 5
+    """
+)
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 5 rows of other labels that score close below each of the 5 positives of an anchor."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").cast("long"), label.alias("label"), topk_search.whole_numbers(F.col("embedding"), 256).alias("vector"))
+    return negatives.mine(rows, rows.where("vec_id % 100 = 0"), scratch_path(spark, "negatives"))
