@@ -125,6 +125,15 @@ def _(spark, sf):
     return stores.scan_serving(spark, f"{root}/table")
 
 
+@register("compact_serving", SERVING_ALL)
+def _(spark, sf):
+    """The table loaded by files in several micro-batches, then compacted into a folder a day."""
+    root = scratch_path(spark, "compact_serving")
+    load_stream(spark, raw_store(spark, sf), f"{root}/table", f"{root}/checkpoint", max_files_per_trigger=1500).awaitTermination()
+    serving.compact_serving(spark, f"{root}/table", "2100-01-01")
+    return stores.scan_serving(spark, f"{root}/table")
+
+
 STRICT = ", ".join(
     ts_text(c) if c in ("event_time", "received_time")
     else f"strftime({c}, '%Y-%m-%d') as {c}" if c == "event_date"

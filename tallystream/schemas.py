@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql.types import (
+    BinaryType,
     DateType,
     LongType,
     StringType,
@@ -117,7 +118,10 @@ _SERVING_TYPES = {
 SERVING_SCHEMA = StructType(
     [StructField(c, _SERVING_TYPES.get(c, StringType())) for c in SERVING_COLUMNS]
 )
-SERVING_STORE_SCHEMA = StructType(SERVING_SCHEMA.fields + [StructField("load_hour", StringType())])
+# How the serving table is stored: also the raw hour a row came from, and a digest of its raw row.
+SERVING_STORE_SCHEMA = StructType(
+    SERVING_SCHEMA.fields + [StructField("load_hour", StringType()), StructField("row_hash", BinaryType())]
+)
 
 MESSAGE_SCHEMA = StructType(
     [

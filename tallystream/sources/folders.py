@@ -5,6 +5,7 @@ Everything goes through Hadoop's file system calls, so it works where Spark's re
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -80,3 +81,40 @@ def leaf_files(spark: SparkSession, path: str) -> list[str]:
         if not file.rsplit("/", 1)[-1].startswith(("_", ".")):
             found.append(file)
     return sorted(found)
+
+
+def sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Bytes of the data files in all folders below `path`, by their paths from there."""
+    system, made = _path(spark, path)
+    if not system.exists(made):
+        return {}
+    base, found = system.resolvePath(made).toUri().getPath(), {}
+    files = system.listFiles(made, True)
+    while files.hasNext():
+        file = files.next()
+        name = file.getPath().toUri().getPath()[len(base):].strip("/")
+        if not name.rsplit("/", 1)[-1].startswith(("_", ".")):
+            found[name] = file.getLen()
+    return found
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    system, made = _path(spark, path)
+    stream = system.open(made)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def put_new(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that appears whole; False if there is one of this name already."""
+    system, target = _path(spark, path)
+    beside = _path_only(spark, f"{path.rsplit('/', 1)[0]}/_new-{uuid.uuid4().hex}")
+    stream = system.create(beside)
+    stream.write(bytearray(text, "utf-8"))
+    stream.close()
+    if not system.exists(target) and system.rename(beside, target):
+        return True
+    system.delete(beside, False)
+    return False

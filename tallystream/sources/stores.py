@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from datetime import datetime
+from collections.abc import Iterable, Sequence
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StringType, StructField, StructType, TimestampType
 
 from tallystream.schemas import RAW_COLUMNS, RAW_STORE_SCHEMA, SERVING_COLUMNS, SERVING_STORE_SCHEMA
-from tallystream.sources import folders
+from tallystream.sources import folders, snapshots
 
 
 def scan_raw(spark: SparkSession, root: str) -> DataFrame:
@@ -52,9 +52,29 @@ def raw_count(raw: DataFrame) -> DataFrame:
     return raw.agg(F.count("*").alias("rows"))
 
 
-def scan_serving(spark: SparkSession, root: str) -> DataFrame:
-    """The serving table's 26 columns. event_date filters skip other days' folders."""
-    return spark.read.schema(SERVING_STORE_SCHEMA).parquet(root).select(*SERVING_COLUMNS)
+def scan_serving(spark: SparkSession, root: str, first_day: str | date | None = None, last_day: str | date | None = None) -> DataFrame:
+    """The serving table's 26 columns, as its newest version lists them.
+
+    Only folders of days from first_day to last_day are given to Spark; event_date filters skip
+    other days' folders too.
+    """
+    return scan_serving_folders(spark, root, serving_folders(spark, root, first_day, last_day)).select(*SERVING_COLUMNS)
+
+
+def serving_folders(spark: SparkSession, root: str, first_day: str | date | None = None, last_day: str | date | None = None) -> dict[str, dict]:
+    """Folders that hold rows of these days, both included, with facts about each."""
+    low, high = str(first_day or ""), str(last_day or "~")
+    return {n: f for n, f in snapshots.latest(spark, root).folders.items() if low <= day_of(n) <= high}
+
+
+def scan_serving_folders(spark: SparkSession, root: str, names: Iterable[str]) -> DataFrame:
+    """Rows of some folders with load_hour and row_hash."""
+    return snapshots.scan(spark, root, SERVING_STORE_SCHEMA, names)
+
+
+def day_of(folder: str) -> str:
+    """Day of the rows in a folder of the serving table."""
+    return folder.rsplit("event_date=", 1)[1]
 
 
 def model_schema(promoted: list[tuple[str, str]]) -> StructType:

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import zlib
+from collections.abc import Callable, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,10 +12,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tallystream.operators.flatten import decodable, flatten_raw
 from tallystream.plans.landing import land_raw, partitioned_raw
-from tallystream.plans.serving import serving_rows, write_serving
-from tallystream.schemas import FLUSH_INTERVAL_SECONDS, RAW_STORE_SCHEMA
+from tallystream.plans.serving import append_new_rows, known_files, note_files, stored_rows
+from tallystream.schemas import FLUSH_INTERVAL_SECONDS, RAW_COLUMNS, RAW_STORE_SCHEMA
 from tallystream.sources import folders
-from tallystream.sources.stores import scan_raw_hours
 
 
 def trigger(every_seconds: int | None) -> dict:
@@ -82,6 +83,31 @@ def dead_letters_stream(
     )
 
 
+def load_files(
+    batch: DataFrame, number: int, stream: str, raw_root: str, serving_root: str,
+    sinks: Sequence[Callable[[DataFrame, int], None]] = (),
+) -> int:
+    """Add the rows of a micro-batch's raw files that the serving table does not hold; how many.
+
+    batch: event_date, hour and file. Files that the ledger knows are not read again.
+    """
+    spark = batch.sparkSession
+    hours: dict[str, list[str]] = {}
+    for row in batch.distinct().collect():  # one row for each of at most max_files_per_trigger files
+        hours.setdefault(f"{row.event_date}-{row.hour}", []).append(unquote(row.file))
+    known = known_files(spark, serving_root, sorted(hours))
+    hours = {h: new for h, files in hours.items() if (new := [f for f in files if f not in known])}
+    if not hours:
+        return 0
+    raw = spark.read.schema(RAW_STORE_SCHEMA).option("basePath", raw_root).parquet(*sorted(f for x in hours.values() for f in x))
+    rows = stored_rows(raw.select(*RAW_COLUMNS, "event_date", "hour"))
+    name = f"{stream}-{number:010d}"
+    numbered = [lambda rows, sink=sink: sink(rows, number) for sink in sinks]
+    added = append_new_rows(rows, serving_root, name, sorted(hours), numbered)
+    note_files(spark, serving_root, name, hours)
+    return added
+
+
 def load_stream(
     spark: SparkSession,
     raw_root: str,
@@ -89,28 +115,27 @@ def load_stream(
     checkpoint: str,
     every_seconds: int | None = None,
     max_files_per_trigger: int = 10_000,
+    sinks: Sequence[Callable[[DataFrame, int], None]] = (),
 ) -> StreamingQuery:
     """Keep the serving table up to date with every new raw file, late ones included.
 
-    Each micro-batch finds out which raw hours got files and reloads those hours whole from
-    their own folders, the only ones it lists: exact copies are removed across files, and a
-    repeated micro-batch replaces what it wrote before.
+    Each micro-batch adds a segment with the rows of its files that the table does not hold, so a late
+    file costs its own rows and the digests of its hours, and no hour is written again. A micro-batch
+    that runs again adds nothing, and neither does a stream that starts anew over files that are loaded.
+    Small folders are left to `compact_serving`.
+
+    `sinks` get each micro-batch's new rows and its number before they count, and the same rows under the
+    same number again if it fails: rollups that are kept per micro-batch follow the table exactly.
     """
     arrivals = (
         spark.readStream.schema(RAW_STORE_SCHEMA)
         .option("maxFilesPerTrigger", max_files_per_trigger)
         .parquet(raw_root)
-        .select("event_date", "hour")
+        .select("event_date", "hour", F.col("_metadata.file_path").alias("file"))
     )
-
-    def reload_hours(batch: DataFrame, _: int) -> None:
-        # Partition values of at most max_files_per_trigger files.
-        hours = sorted((r.event_date, r.hour) for r in batch.distinct().collect())
-        raw = scan_raw_hours(batch.sparkSession, raw_root, hours)
-        write_serving(serving_rows(raw), serving_root, [f"{day}-{hour}" for day, hour in hours])
-
+    stream = stream_name(checkpoint)
     return (
-        arrivals.writeStream.foreachBatch(reload_hours)
+        arrivals.writeStream.foreachBatch(lambda batch, n: load_files(batch, n, stream, raw_root, serving_root, sinks) and None)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger(every_seconds))
         .start()

@@ -11,6 +11,7 @@ from tallystream.plans import readonly_sql as sql
 from tallystream.plans.landing import land_raw
 from tallystream.plans.serving import load_hour, serving_rows
 from tallystream.schemas import JSON_COLUMNS, PROMOTED_FIELDS, RAW_COLUMNS, RAW_SCHEMA, SERVING_COLUMNS
+from tallystream.sources import snapshots
 from tallystream.sources.stores import scan_raw, scan_raw_hour, scan_serving
 from tallystream.streaming.landing import dead_letters_stream, land_stream, load_stream
 
@@ -67,7 +68,7 @@ def test_hour_load_is_repeatable_and_keeps_other_hours(spark, tmp_path):
     assert load_hour(spark, str(tmp_path / "fixed"), root, datetime(2026, 4, 13, 10))
     assert not load_hour(spark, str(tmp_path / "fixed"), root, datetime(2024, 1, 1, 0))
     assert [r["event_id"] for r in scan_serving(spark, root).collect()] == ["4"]
-    assert sorted(os.listdir(root)) == ["load_hour=2026-04-13-10"]
+    assert [f["hours"] for f in snapshots.latest(spark, root).folders.values()] == [["2026-04-13-10"]]
 
 
 def test_streams_land_load_and_restart(spark, tmp_path):
