@@ -48,6 +48,7 @@ def load() -> tuple[dict[str, Query], dict[str, str]]:
         loading,
         measuring,
         modelling,
+        reporting,
         scalars,
     )
 

@@ -13,6 +13,8 @@ from tallystream.plans.landing import land_raw
 from tallystream.plans.serving import load_serving
 from tallystream.session import scratch_path
 from tallystream.sources.stores import scan_raw, scan_serving
+from tallystream.streaming.landing import load_stream
+from tallystream.streaming.rollups import Rollup, retention_rollup, sessions_rollup, values_rollup
 
 # Driver events with resends: exact copies, after 5 minutes, after 3 hours.
 SENT = """
@@ -309,6 +311,23 @@ def serving_store(spark: SparkSession, sf_dir: str) -> str:
     return _store(spark, sf_dir, "serving", lambda path: load_serving(scan_raw(spark, raw_store(spark, sf_dir)), path))
 
 
+def loaded_rollups(spark: SparkSession, sf_dir: str) -> dict[str, Rollup]:
+    """Rollups that followed a stream which loaded the raw layer in several micro-batches."""
+
+    def named(path: str) -> dict[str, Rollup]:
+        return {"sessions": sessions_rollup(f"{path}/sessions"), "retention": retention_rollup(f"{path}/retention"),
+                "values": values_rollup(f"{path}/values", "$.k")}
+
+    def write(path: str) -> None:
+        sinks = [r.sink("fixture") for r in named(path).values()]
+        raw = raw_store(spark, sf_dir)
+        load_stream(spark, raw, f"{path}/table", f"{path}/checkpoint", max_files_per_trigger=800, sinks=sinks).awaitTermination()
+        for rollup in named(path).values():
+            rollup.compact(spark)
+
+    return named(_store(spark, sf_dir, "rollups", write))
+
+
 def message_files(spark: SparkSession, sf_dir: str) -> str:
     """Log files for the streaming queries, split by time."""
 
