@@ -138,7 +138,7 @@ def climb(nodes: DataFrame, scratch: str) -> DataFrame:
         if moving.isEmpty():
             break
         salts = RUN ** max(0, step - SALTED)
-        ahead = state.where(F.col("level") % step == 0).select(
+        ahead = state.where((F.col("level") >= step) & (F.col("level") % step == 0)).select(
             "tree", F.col("level").alias("to_level"), F.col("pos").alias("to"), F.col("path").alias("rest"),
             F.col("reached").alias("end"), F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
         moving = moving.select(
