@@ -314,10 +314,22 @@ def test_mixing_cases(spark, tmp_path):
 
 
 def test_better_documents_are_taken_more_often(spark, tmp_path):
-    clean = [(i, prose(i, 20), "en", "a", 0) for i in range(400)]
-    dirty = [(1000 + i, prose(i, 20).replace(" ", "## "), "en", "a", 0) for i in range(400)]
-    rest = [(2000 + i, prose(i, 20), "en", "b", 0) for i in range(1200)]
-    got = mixing.mix(documents(spark, clean + dirty + rest), str(tmp_path / "a")).where("source = 'b' or epochs > 0").collect()
-    assert hashlib.sha256(b"").hexdigest() and len(got)
-    taken = Counter("clean" if r.doc_id < 1000 else "dirty" for r in got if r.source == "a" and r.epochs == max(x.epochs for x in got if x.source == "a"))
-    assert taken["clean"] >= taken["dirty"]
+    """Equal texts but for their symbols, which halve the weight; a third of the source's words are taken once more."""
+    clean = [(i, prose(i, 20), "en", "a", 0) for i in range(600)]
+    dirty = [(1000 + i, prose(i, 20).replace(" ", "# "), "en", "a", 0) for i in range(600)]
+    rest = [(2000 + i, prose(i, 20), "en", "b", 0) for i in range(300)]
+    got = mixing.mix(documents(spark, clean + dirty + rest), str(tmp_path / "a")).where("source = 'a'").collect()
+    least = min(r.epochs for r in got)
+    more = Counter(r.doc_id < 1000 for r in got if r.epochs > least)
+    assert {r.epochs for r in got} == {least, least + 1}
+    # Of exponential keys with rates 1 and 0.51, the smaller ones are those of rate 1 nearly two times in three.
+    assert 1.3 < more[True] / more[False] < 2.6
+
+
+@pytest.mark.parametrize("weight", [0.05, 1e-6, 1.0, 1e6])
+def test_no_bucket_holds_much_of_a_source(spark, tmp_path, weight):
+    docs = spark.range(40_000).selectExpr("id as doc_id", "concat('w', id, ' x') as text", "'a' as source")
+    mixing.borders(docs, str(tmp_path / "a"), F.lit(weight), "seed")
+    rows = spark.read.parquet(str(tmp_path / "a/draws"))
+    assert rows.groupBy("bucket").count().agg(F.max("count")).first()[0] < 60  # 20 expected at most
+    assert rows.select("bucket").distinct().count() < 12_000
