@@ -9,8 +9,11 @@ written again with each other name of that group in its place. Training adds the
 the difference between the logits of the two sentences, times `penalty`, to the loss, so a
 neutral mention of a group moves no score.
 
-The fit takes at most about `MAX_ROWS` labelled rows, drawn by a hash of the id; that sample,
-its features and its sentences are all that reaches the driver. Scoring covers every text whole.
+The fit takes at most about `MAX_ROWS` labelled rows, drawn by a hash of the id, and of each at most
+`MAX_PAIRS` rewritings, those of smallest hash. Texts stay in the tasks: what reaches the driver is the
+ids of the features that a row holds, at most `FEATURES`, and for each rewriting those in which it differs.
+Scoring covers every text whole. Names are given for the languages below; others are a caller's list (`groups`).
+A corpus that names no group is fitted without the penalty, as plain logistic regression.
 
 Cases: NULL and empty texts get the score of a text without features; NULL labels are not
 learned; of a doc_id labelled twice the toxic label counts; without labels every score is the
@@ -22,6 +25,7 @@ the names of the outputs are replaced.
 from __future__ import annotations
 
 import re
+import zlib
 from dataclasses import dataclass
 
 import numpy as np
@@ -31,7 +35,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallystream.llm.columns import map_arrow, plain_text, replaced, small_batches
+from tallystream.llm.components import written
 from tallystream.llm.grams import grams, letters
+from tallystream.session import scratch_path
 
 ORDERS = (5, 7)
 BITS = 22
@@ -39,6 +45,7 @@ BUCKETS = len(ORDERS) << BITS
 FEATURES = 4000
 MIN_DOCS = 4
 MAX_ROWS = 20_000
+MAX_PAIRS = 32
 THRESHOLD = 0.3
 PENALTY, L2, STEPS, RATE = 1.0, 2e-4, 400, 0.05
 PRIOR_TOXIC, PRIOR_ROWS = 0.5, 20
@@ -57,6 +64,15 @@ IDENTITY_GROUPS = (
     ("immigrants", "refugees", "foreigners", "locals"),
     ("old", "young", "elderly"),
     ("blind", "deaf", "disabled"),
+    ("frauen", "männer"),
+    ("christen", "muslime", "juden", "hindus", "buddhisten", "atheisten"),
+    ("flüchtlinge", "ausländer", "einheimische"),
+    ("femmes", "hommes"),
+    ("chrétiens", "musulmans", "juifs", "hindous", "bouddhistes", "athées"),
+    ("réfugiés", "étrangers", "immigrés"),
+    ("mujeres", "hombres"),
+    ("cristianos", "musulmanes", "judíos", "hindúes", "budistas", "ateos"),
+    ("refugiados", "extranjeros", "inmigrantes"),
 )
 
 
@@ -163,7 +179,7 @@ def fit(rows: np.ndarray, features: np.ndarray, toxic: np.ndarray, size: int, pa
 def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, penalty: float = PENALTY,
           groups=IDENTITY_GROUPS) -> Model:
     """docs: doc_id, text; labels: doc_id, toxic."""
-    rows = labelled(docs, labels, max_rows)
+    rows = written(labelled(docs, labels, max_rows), scratch_path(docs.sparkSession, "labelled"))
     buckets = np.array(sorted(select_features(rows, FEATURES)), np.int64)
 
     def run(batches):
@@ -172,27 +188,42 @@ def learn(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, penalty:
             row, feature = features_of(batch.column("text"), table)
             ends = np.searchsorted(row, np.arange(batch.num_rows + 1))
             held = [feature[a:b].tolist() for a, b in zip(ends, ends[1:])]
-            pairs = [counterfactuals(t, groups) for t in batch.column("text").to_pylist()]
+            pairs = [differences(counterfactuals(t, groups), table) for t in batch.column("text").to_pylist()]
+            ids = pa.list_(pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("toxic"), pa.array(held, pa.list_(pa.int32())),
-                 pa.array([[a for a, _ in p] for p in pairs], pa.list_(pa.string())),
-                 pa.array([[b for _, b in p] for p in pairs], pa.list_(pa.string()))],
-                names=["toxic", "features", "sentences", "rewritten"])
+                 pa.array([[a for a, _ in p] for p in pairs], ids), pa.array([[b for _, b in p] for p in pairs], ids)],
+                names=["toxic", "features", "lost", "gained"])
 
-    schema = "toxic int, features array<int>, sentences array<string>, rewritten array<string>"
+    schema = "toxic int, features array<int>, lost array<array<int>>, gained array<array<int>>"
     sample = map_arrow(rows.select("text", "toxic"), run, schema).toArrow().combine_chunks()
     column = lambda c: sample.column(c).combine_chunks()
     toxic = column("toxic").to_numpy(zero_copy_only=False).astype(float)
-    held = column("features")
-    features = held.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-    rows_of = np.repeat(np.arange(len(toxic)), np.diff(held.offsets.to_numpy())) if len(toxic) else features
-    table = feature_table(buckets)
-    texts = [column(c).flatten() for c in ("sentences", "rewritten")]
-    sides = [features_of(t, table) if len(t) else (np.zeros(0, np.int64),) * 2 for t in texts]
-    weights, bias = fit(rows_of, features, toxic, len(buckets), [*sides, len(texts[0])], penalty)
+    rows_of, features = laid_out(column("features"))
+    sides = [laid_out(column(c).flatten()) for c in ("lost", "gained")]
+    weights, bias = fit(rows_of, features, toxic, len(buckets), [*sides, len(column("lost").flatten())], penalty)
     return Model(buckets, weights, bias)
 
 
+def differences(pairs: list[tuple[str, str]], table: np.ndarray) -> list[tuple[list[int], list[int]]]:
+    """For each sentence and its rewriting the features that only one of them has, of at most MAX_PAIRS pairs
+    that differ: what both have does not change the difference of their logits."""
+    if len(pairs) > MAX_PAIRS:
+        pairs = sorted(set(pairs), key=lambda p: (zlib.crc32("\n".join(p).encode()), p))[:MAX_PAIRS]
+    found = []
+    for pair in pairs:
+        row, feature = features_of(pa.array(pair), table)
+        one, other = feature[row == 0], feature[row == 1]
+        found.append((np.setdiff1d(one, other).tolist(), np.setdiff1d(other, one).tolist()))
+    return found
+
+
+def laid_out(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Row and value of everything in a list column."""
+    values = lists.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    return np.repeat(np.arange(len(lists)), np.diff(lists.offsets.to_numpy())) if len(lists) else values, values
+
+
 def score(docs: DataFrame, model: Model, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
     """Add score (0 to 1) and predicted (1 from the threshold on)."""
 

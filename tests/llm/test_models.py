@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -61,6 +63,42 @@ def test_distance_by_hand():
     assert size.tolist() == [n, out[1, 0] // 9, 0] and out[2].tolist() == [0, 0]
 
 
+def test_predictions_by_brute_force(spark):
+    """Counts, profiles, ranks and distances one by one, from each text's n-grams."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").collect()
+    top, counts = language_id.TOP, {}
+    for r in rows:
+        _, gram, n = language_id.counted(pa.array([r.text or ""]))
+        counts[r.doc_id] = dict(zip(gram.tolist(), n.tolist()))
+    ranked = lambda found: {g: i for i, (g, _) in enumerate(sorted(found.items(), key=lambda x: (-x[1], x[0]))[:top])}
+    sums: dict = {}
+    for r in rows:
+        if r.lang is not None and zlib.crc32(str(r.doc_id).encode()) % 3 != 1:
+            own = sums.setdefault(r.lang, {})
+            for g, n in counts[r.doc_id].items():
+                own[g] = own.get(g, 0) + n
+    profiles = {lang: ranked(found) for lang, found in sums.items()}
+    got = {r.doc_id: r for r in queries.op8_language_id(spark, "/root/testdata/sf0.001").collect()}
+    assert len(got) == len(rows) and len(profiles) > 2
+    for r in rows:
+        own = ranked(counts[r.doc_id])
+        apart = {lang: sum(min(abs(p[g] - i), top) if g in p else top for g, i in own.items()) for lang, p in profiles.items()}
+        best = min(sorted(apart), key=apart.get) if own else "und"
+        assert got[r.doc_id].lang_pred == best
+        assert got[r.doc_id].score == pytest.approx(1 - apart[best] / (len(own) * top) if own else 0)
+
+
+def test_counts_of_very_long_texts_are_ranked_whole():
+    text = "b " * 1_060_000 + "a " * 1_050_000 + "c " * 1_055_000
+    row, gram, count = language_id.counted(pa.array([text]))
+    order = np.lexsort((gram, -count))
+    known = np.sort(gram)
+    ranks = np.full((len(known), 1), language_id.TOP)
+    ranks[np.searchsorted(known, gram[order]), 0] = np.arange(len(order))
+    out, _ = language_id.distances(pa.array([text]), language_id.Profiles(["own"], known, ranks), language_id.TOP)
+    assert out.tolist() == [[0]] and len(set(count.tolist())) > 2
+
+
 def test_language_cases(spark):
     docs = documents(spark).withColumns({"lang_pred": F.lit(1), "score": F.lit("clash")})
     profiles = language_id.learn(docs)
@@ -103,7 +141,19 @@ def test_counterfactuals_take_the_bias_from_groups(spark):
         scores = {r.doc_id: r.score for r in toxicity.score(neutral, toxicity.learn(docs, labels, penalty=penalty)).collect()}
         return abs(scores[1] - scores[2])
 
-    assert gap(0.0) > 0.2 and gap(20.0) < 0.25 * gap(0.0)
+    free = gap(0.0)
+    assert free > 0.2 and gap(20.0) < 0.25 * free and gap(toxicity.PENALTY) < 0.7 * free
+
+
+def test_a_text_sends_a_bounded_number_of_rewritings():
+    text = ". ".join(f"the {a} {b} men came" for a, b in zip(prose(1, 4000).split(), prose(2, 4000).split())) + " frauen und juden"
+    table = toxicity.feature_table(np.arange(1000))
+    pairs = toxicity.counterfactuals(text)
+    found = toxicity.differences(pairs, table)
+    assert len(pairs) > 4000 and len(found) == toxicity.MAX_PAIRS and found == toxicity.differences(pairs[::-1], table)
+    assert all(not set(a) & set(b) for a, b in found)
+    long = "men and " + "word " * 200_000  # one sentence without an end
+    assert all(len(a) + len(b) < 200 for a, b in toxicity.differences(toxicity.counterfactuals(long), toxicity.feature_table(np.arange(toxicity.BUCKETS))))
 
 
 def test_counterfactual_sentences():

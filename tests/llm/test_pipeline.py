@@ -57,7 +57,8 @@ def test_rules_stage(stages):
 def test_lines_stage(stages):
     docs, out = stages[1]
     want = {d: t for d, t, _, _ in dedup([(r.doc_id, r.text) for r in docs.collect()])}
-    assert {r.doc_id: r.text for r in out.collect()} == want
+    assert {r.doc_id: r.text for r in out.collect()} == {d: t for d, t in want.items() if t.strip(" \t\n\x0b\f\r")}
+    assert 0 < out.count() < len(want)
     assert all(r.n_chars == len(r.text) for r in out.collect())
 
 
@@ -102,6 +103,13 @@ def test_stages_over_cases(spark, tmp_path):
         assert (docs.count() > 0) == (name != "none")
 
 
+def test_documents_that_lose_all_they_said_go(spark):
+    line, other = prose(1, 12), prose(2, 12)
+    rows = [(1, line, "en", "a", 1), (2, f" {line} \n\t", "en", "a", 1), (3, f"{line}\n{other}", "en", "a", 1), (4, "", "en", "a", 0), (5, None, "en", "a", 0)]
+    got = {r.doc_id: r.text for r in corpus_pipeline.lines(spark, documents(spark, rows), SF).collect()}
+    assert got == {1: line, 3: other, 4: "", 5: ""}
+
+
 def test_one_of_repeated_rows_stays(spark):
     rows = [(1, prose(1, 30), "en", "a", 1)] * 3 + [(2, prose(1, 30), "en", "a", 1), (None, prose(2, 30), None, None, 1)] * 2
     assert sorted(map(str, ids_of(corpus_pipeline.near_duplicates(spark, documents(spark, rows), SF)))) == ["1", "None"]
