@@ -8,7 +8,7 @@ Cases: NULL and empty texts go in the first stage, as documents of too few words
 languages and sources stay as they are; columns beyond those of `documents` are dropped;
 repeated rows are near duplicates of each other, of which one stays; rows that share an id or
 have none, but not their text, are compared by their texts; rows without id and words all stay;
-an empty table gives an empty result.
+documents that line dedup leaves without a word go; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -29,8 +29,10 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without the lines that an earlier one holds; n_chars follows the text."""
+    """The documents without the lines that an earlier one holds; n_chars follows the text. Those that
+    lose lines and have no word left go: all they said stands in earlier documents."""
     kept = line_dedup.drop_repeated_lines(docs.select(*COLUMNS), scratch_path(spark, "pipeline-lines"))
+    kept = kept.where((F.col("n_dropped") == 0) | F.col("text").rlike(r"[^ \t-\r]"))
     return kept.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
