@@ -88,8 +88,9 @@ def dedupe_window(
     dropped. Only candidates later than that, in runs of resends longer than the
     window, depend on each other and are walked in order.
 
-    `recent` (keys, kept_at) holds keys kept earlier, one row each; it may be large,
-    so the join with it is left to the planner.
+    `recent` (keys, kept_at) holds the seconds at which keys were kept earlier, as many a key as there
+    are: a message within the window of one, before or after it, is dropped. It may be large, so the join
+    with it is left to the planner; it meets on windows of time, in each of which a key has few seconds.
     """
     keys = list(keys)
     first = Window.partitionBy(*keys, "_second").orderBy(at, *order)
@@ -100,12 +101,14 @@ def dedupe_window(
         .drop("_rank")
     )
     if recent is not None:
-        earlier = recent.select(*keys, F.col("kept_at").alias("_kept_at"))
-        candidates = (
-            candidates.join(earlier, keys, "left")
-            .where(F.col("_kept_at").isNull() | (F.col("_second") >= F.col("_kept_at") + window))
-            .select(*messages.columns, "_second")
-        )
+        stretch = lambda second: F.floor(second / window)
+        near = F.explode(F.sequence(stretch(F.col("kept_at")) - 1, stretch(F.col("kept_at")) + 1)).alias("_stretch")
+        earlier = recent.select(*[F.col(k).alias(f"_{k}") for k in keys], F.col("kept_at").alias("_kept_at"), near)
+        candidates = candidates.withColumn("_own", stretch(F.col("_second")))
+        # Both sides deal out by key and stretch of time, so a key with a third of all rows is spread.
+        same = [candidates[k].eqNullSafe(earlier[f"_{k}"]) for k in keys]
+        close = F.abs(candidates["_second"] - earlier["_kept_at"]) < window
+        candidates = candidates.join(earlier, [*same, candidates["_own"] == earlier["_stretch"], close], "left_anti").drop("_own")
     in_order = Window.partitionBy(*keys).orderBy("_second")
     up_to_here = in_order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     opens = F.coalesce(

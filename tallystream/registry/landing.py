@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tallystream.functions.json_text import compact_json, int_or_zero
@@ -189,6 +190,24 @@ def _(spark, sf):
     return kept.select("app_id", "event_id", F.unix_timestamp("published_at").alias("second"))
 
 
+@register("dedupe_stream_unordered", DEDUPE_SQL)
+def _(spark, sf):
+    """Out of order: each key's later resends come first, then the first messages of half the keys, then the others'."""
+    root = scratch_path(spark, "dedupe_stream_unordered")
+    rows = messages(spark, sf).select("app_id", "event_id", "published_at", "sequence")
+    # Resends come after five minutes or three hours, so messages within a window of each other stay together.
+    cut = F.pmod(F.xxhash64("app_id", "event_id"), F.lit(2)) == 0
+    first = F.min("published_at").over(Window.partitionBy("app_id", "event_id"))
+    late = F.unix_timestamp("published_at") - F.unix_timestamp(first) >= 3600
+    rows = rows.withColumns({"_late": late, "_cut": cut}).withColumn("_part", F.when(F.col("_late"), 0).when(F.col("_cut"), 1).otherwise(2))
+    for part in range(3):
+        rows.where(F.col("_part") == part).select("app_id", "event_id", "published_at", "sequence").write.parquet(f"{root}/log/part={part}")
+        log = spark.readStream.schema("app_id string, event_id string, published_at timestamp, sequence string").parquet(f"{root}/log/part=*")
+        dedupe_stream(log, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    kept = read_kept(spark, f"{root}/out", log.schema)
+    return kept.select("app_id", "event_id", F.unix_timestamp("published_at").alias("second"))
+
+
 @register(
     "parse_iso",
     f"""with {RAW_CTE} select event_timestamp as text, strftime(try_cast(event_timestamp as timestamp), '%Y-%m-%d %H:%M:%S.%f') as parsed from raw

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import random
 from contextlib import suppress
 from datetime import UTC, datetime, timedelta
@@ -8,7 +9,7 @@ from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from tallystream.operators.dedupe import dedupe_latest, dedupe_window, distinct_rows
-from tallystream.streaming.dedupe import dedupe_stream, read_kept
+from tallystream.streaming.dedupe import dedupe_stream, forget_before, read_kept
 
 START = datetime(2024, 1, 1, tzinfo=UTC)
 SCHEMA = "app_id string, event_id string, published_at timestamp, sequence string, body string"
@@ -73,6 +74,56 @@ def test_stream_equals_batch(spark, tmp_path):
     assert sorted(r["body"] for r in got.collect()) == walk(rows, 600)
 
 
+def stream_over(spark, tmp_path, parts):
+    for part in parts:
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(f"{tmp_path}/log")
+        log = spark.readStream.schema(SCHEMA).parquet(f"{tmp_path}/log")
+        dedupe_stream(log, f"{tmp_path}/out", f"{tmp_path}/checkpoint").awaitTermination()
+    return sorted(r["body"] for r in read_kept(spark, f"{tmp_path}/out", log.schema).collect())
+
+
+def at_second(key, second, body):
+    return ("a", key, START + timedelta(seconds=second), body, body)
+
+
+def test_a_stream_out_of_order_equals_the_batch(spark, tmp_path):
+    """Older messages, times years ahead, and kept seconds on both sides, in the wrong order."""
+    ahead = 40 * 365 * 86_400
+    parts = [
+        [at_second("k", 10_000, "b"), at_second("f", ahead, "far"), at_second(None, 5_000, "n2")],
+        [at_second("k", 5_000, "a"), at_second("k", 20_000, "c"), at_second("f", 100, "f1"), at_second("f", 500, "resend of f1"), at_second(None, 4_000, "n1")],
+        [at_second("k", 10_599, "resend of b"), at_second("k", 9_401, "resend of b, earlier"), at_second("k", 10_600, "d"), at_second("k", 9_400, "e"),
+         at_second("f", ahead + 700, "f3"), at_second("f", 701, "f2"), at_second("f", ahead - 1, "resend of far"), at_second(None, 4_599, "resend of n1")],
+    ]
+    got = stream_over(spark, tmp_path, parts)
+    assert got == sorted(["a", "b", "c", "d", "e", "far", "f1", "f2", "f3", "n1", "n2"])
+    rows = [r for part in parts for r in part if not r[4].startswith("resend")]
+    assert got == sorted(r["body"] for r in dedupe_window(spark.createDataFrame(rows, SCHEMA)).collect())
+
+
+def test_days_in_any_order_equal_the_batch(spark, tmp_path):
+    """Each part has a day of every key; days come last to first, the hot key's too."""
+    random.seed(5)
+    days = [[("a", key, START + timedelta(days=day, seconds=random.randrange(40_000)), f"{day}-{i:04d}", f"{day}-{i}")
+             for i in range(90) for key in ("hot", "hot", f"k{i % 7}")] for day in range(4)]
+    days = [[(*r[:3], f"{r[3]}-{n}", f"{r[4]}-{n}") for n, r in enumerate(day)] for day in days]
+    rows = [r for day in days for r in day]
+    got = stream_over(spark, tmp_path, days[::-1])
+    assert got == walk(rows, 600) == sorted(r["body"] for r in dedupe_window(spark.createDataFrame(rows, SCHEMA)).collect())
+
+
+def test_state_is_added_to_and_forgotten_by_slots(spark, tmp_path):
+    root = tmp_path / "out/recent"
+    stream_over(spark, tmp_path, [[at_second("k", 0, "a"), at_second("k", 86_400, "b")]])
+    before = {f: os.stat(f).st_mtime_ns for f in map(str, root.rglob("*.parquet"))}
+    stream_over(spark, tmp_path, [[at_second("k", 86_500, "resend of b"), at_second("k", 87_100, "c")]])
+    after = {f: os.stat(f).st_mtime_ns for f in map(str, root.rglob("*.parquet"))}
+    assert before.items() <= after.items() and len(after) == len(before) + 1
+    assert forget_before(spark, f"{tmp_path}/out", START + timedelta(hours=12)) == 1
+    got = stream_over(spark, tmp_path, [[at_second("k", 1, "a again"), at_second("k", 86_401, "resend of b")]])
+    assert got == ["a", "a again", "b", "c"]
+
+
 def test_a_sink_that_fails_gets_the_same_batch_again(spark, tmp_path):
     rows = resends(11)
     spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{tmp_path}/log")
