@@ -58,6 +58,9 @@ MAX_REQUEST_BYTES = 1_048_576
 MAX_EVENTS_PER_REQUEST = 500
 DEDUP_WINDOW_SECONDS = 600
 FLUSH_INTERVAL_SECONDS = 60
+MAX_FILE_ROWS = 1000
+MAX_FILE_BYTES = 4_194_304
+MAX_DELIVERIES = 10
 MODEL_LOOKBACK_HOURS = 6
 MAX_QUERY_ROWS = 500
 MAX_SAMPLE_ROWS = 50

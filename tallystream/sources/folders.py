@@ -57,15 +57,14 @@ def move(spark: SparkSession, moves: Iterable[tuple[str, str]]) -> None:
     if not moves:
         return
     system = _path(spark, moves[0][1])[0]
-    for folder in sorted({target.rsplit("/", 1)[0] for _, target in moves}):
-        system.mkdirs(_path_only(spark, folder))
-
+    parents = {target.rsplit("/", 1)[0] for _, target in moves}
     def rename(pair: tuple[str, str]) -> None:
         source, target = pair
         if not system.rename(_path_only(spark, source), _path_only(spark, target)):
             raise OSError(f"could not move {source} to {target}")
 
     with ThreadPoolExecutor(16) as pool:
+        list(pool.map(lambda folder: system.mkdirs(_path_only(spark, folder)), parents))
         list(pool.map(rename, moves))
 
 

@@ -4,16 +4,26 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable, Sequence
+from functools import reduce
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
-from tallystream.operators.flatten import decodable, flatten_raw
-from tallystream.plans.landing import land_raw, partitioned_raw
+from tallystream.operators.flatten import decodable, flatten_raw, with_partition
+from tallystream.plans.landing import land_raw, numbered_files, partitioned_raw
 from tallystream.plans.serving import append_new_rows, known_files, note_files, stored_rows
-from tallystream.schemas import FLUSH_INTERVAL_SECONDS, RAW_COLUMNS, RAW_STORE_SCHEMA
+from tallystream.schemas import (
+    FLUSH_INTERVAL_SECONDS,
+    MAX_DELIVERIES,
+    MAX_FILE_BYTES,
+    MAX_FILE_ROWS,
+    RAW_COLUMNS,
+    RAW_PARTITIONS,
+    RAW_STORE_SCHEMA,
+)
 from tallystream.sources import folders
 
 
@@ -27,42 +37,117 @@ def stream_name(checkpoint: str) -> str:
     return f"s{zlib.crc32(checkpoint.encode()):08x}"
 
 
-def land_batch(batch: DataFrame, root: str, stream: str, number: int, max_rows_per_file: int = 0) -> None:
+def land_batch(
+    batch: DataFrame, root: str, stream: str, number: int, max_rows_per_file: int = 0, max_bytes_per_file: int = 0
+) -> None:
     """Append a micro-batch's decodable messages to the raw layer, once however often it runs.
 
     It is written beside the layer as a batch landing writes it (small partitions one file, large
-    ones as many as they fill) and then moved in under names that tell the stream and the batch.
-    Once it is written whole, a batch that runs again after a failure only moves what is still to
-    be moved, and a mark tells that all was. The layer keeps no log of the stream (one mark, the
-    last batch's), and batch landings and other streams may write to it too.
+    ones as many as they fill, or as the bounds ask for) and then moved in under names that tell the
+    stream and the batch. Once it is written whole, a batch that runs again after a failure only moves
+    what is still to be moved, and a mark tells that all was. The layer keeps no log of the stream (one
+    mark, the last batch's), and batch landings and other streams may write to it too.
     """
     spark, mark = batch.sparkSession, f"{stream}-{number:010d}"
     staged, landed = f"{root}/_landing-{mark}", f"{root}/_landed-{mark}"
     if folders.exists(spark, landed):
         return
     if not folders.exists(spark, f"{staged}/_SUCCESS"):
-        rows = partitioned_raw(flatten_raw(batch.where(decodable(F.col("value")))))
-        land_raw(rows, staged, max_rows_per_file, mode="overwrite")
-    files = [f.rsplit("/", 1) for f in folders.leaf_files(spark, staged)]
-    folders.move(spark, [(f"{staged}/{folder}/{name}", f"{root}/{folder}/{mark}-{name}") for folder, name in files])
+        messages = batch.where(decodable(F.col("value")))
+        if max_rows_per_file or max_bytes_per_file:
+            messages = messages.withColumn("message_bytes", F.octet_length("value"))
+            flat = f"{root}/_flat-{mark}"
+            # Parsed and written once; sizing the files reads it twice.
+            with_partition(flatten_raw(messages, "message_bytes")).write.mode("overwrite").parquet(flat)
+            rows = numbered_files(spark.read.parquet(flat), max_rows_per_file, max_bytes_per_file)
+            keys = [*RAW_PARTITIONS, "file"]
+            rows.hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys).option("compression", "snappy").parquet(staged)
+            folders.remove(spark, flat)
+        else:
+            land_raw(partitioned_raw(flatten_raw(messages)), staged, mode="overwrite")
+    moves = []
+    for path in folders.leaf_files(spark, staged):
+        folder, name = path.rsplit("/", 1)
+        inside, _, file = folder.partition("/file=")
+        moves.append((f"{staged}/{path}", f"{root}/{inside}/{mark}-{file + '-' if file else ''}{name}"))
+    folders.move(spark, moves)
     folders.make(spark, landed)
     folders.remove(spark, staged, f"{root}/_landed-{stream}-{number - 1:010d}")
 
 
+def land_or_set_aside(
+    batch: DataFrame, root: str, stream: str, number: int, max_rows_per_file: int = 0, max_bytes_per_file: int = 0,
+    max_deliveries: int = MAX_DELIVERIES, max_set_aside: int = 100,
+) -> int:
+    """Land a micro-batch; if it fails `max_deliveries` times, land all of it but the messages that fail.
+
+    The batch is halved by a digest of its messages, and what fails is halved again, so one message costs
+    as many rounds as the batch has doublings. Messages that fail alone go to root/_quarantine as they came;
+    how many is returned. More than `max_set_aside` are no bad messages but a fault of the store or the cluster: then the
+    failure is raised, nothing is set aside, and the batch comes again. What has landed by then does not land twice.
+    """
+    spark, bounds = batch.sparkSession, (max_rows_per_file, max_bytes_per_file)
+    failure: Exception | None = None
+    for _ in range(max_deliveries):
+        try:
+            land_batch(batch, root, stream, number, *bounds)
+            return 0
+        except Exception as error:  # whatever it is, the batch is delivered again
+            failure = error
+    digest = F.xxhash64("value", "stream", "sequence")
+    bad, marks, parts = [], [], [(1, 0), (1, 1)]
+    while parts:
+        depth, rest = parts.pop()
+        part = batch.where(F.pmod(digest, F.lit(1 << depth)) == rest)
+        size = part.count()
+        if not size:
+            continue
+        try:
+            land_batch(part, root, f"{stream}-half{depth}.{rest}", number, *bounds)
+            marks.append(f"{root}/_landed-{stream}-half{depth}.{rest}-{number:010d}")
+        except Exception:
+            if size == 1 or depth == 48:
+                bad.append((depth, rest, size))
+                if sum(b[2] for b in bad) > max_set_aside:
+                    raise failure from None
+            else:
+                parts += [(depth + 1, rest), (depth + 1, rest + (1 << depth))]
+    aside = reduce(Column.__or__, [F.pmod(digest, F.lit(1 << d)) == r for d, r, _ in bad], F.lit(False))
+    batch.where(aside).withColumn("failure", F.lit(str(failure)[:1000])).write.mode("overwrite").parquet(
+        f"{root}/_quarantine/{stream}-{number:010d}")
+    folders.make(spark, f"{root}/_landed-{stream}-{number:010d}")
+    leftover = [n for n in folders.children(spark, root) if n.endswith(f"-{number:010d}") and n.startswith((f"_landing-{stream}", f"_flat-{stream}"))]
+    folders.remove(spark, *marks, *[f"{root}/{n}" for n in leftover])
+    return sum(b[2] for b in bad)
+
+
+def read_quarantine(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
+    """Messages that streams into this layer have set aside, with the failure of their batch."""
+    schema = StructType([*schema.fields, StructField("failure", StringType())])
+    if not folders.exists(spark, f"{root}/_quarantine"):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{root}/_quarantine/{n}" for n in folders.children(spark, f"{root}/_quarantine")])
+
+
 def land_stream(
     messages: DataFrame,
     root: str,
     checkpoint: str,
     every_seconds: int | None = FLUSH_INTERVAL_SECONDS,
-    max_rows_per_file: int = 0,
+    max_rows_per_file: int = MAX_FILE_ROWS,
+    max_bytes_per_file: int = MAX_FILE_BYTES,
+    max_deliveries: int = MAX_DELIVERIES,
 ) -> StreamingQuery:
     """Append decodable messages to the raw layer, micro-batch by micro-batch.
 
-    every_seconds=None drains what is there and stops.
+    every_seconds=None drains what is there and stops. The bounds of a file are the published ones; a
+    large layer is better off with larger ones, or none (0). A message that makes its micro-batch fail
+    `max_deliveries` times is set aside, and the stream goes on.
     """
     stream = stream_name(checkpoint)
+    bounds = (max_rows_per_file, max_bytes_per_file, max_deliveries)
     return (
-        messages.writeStream.foreachBatch(lambda batch, n: land_batch(batch, root, stream, n, max_rows_per_file))
+        messages.writeStream.foreachBatch(lambda batch, n: land_or_set_aside(batch, root, stream, n, *bounds) and None)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger(every_seconds))
         .start()
