@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallystream.functions.identity import ip_hash, message_id, route_subject
 from tallystream.functions.network import client_ip
 from tallystream.functions.times import client_time_text, iso_offset_text
-from tallystream.operators.geo import with_country
+from tallystream.operators.geo import Networks, with_country
 from tallystream.operators.requests import FALSE_WORDS, TRUE_WORDS, explode_events
 from tallystream.schemas import CONTEXTS, OPEN_MAPS
 
@@ -90,7 +90,7 @@ def ingest_json(client: Column, store_raw_ip: bool = False) -> Column:
 
 def to_messages(
     accepted: DataFrame,
-    ranges: DataFrame | None,
+    ranges: DataFrame | Networks | None,
     salt: str,
     prefix: str = "events",
     store_raw_ip: bool = False,

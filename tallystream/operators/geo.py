@@ -3,15 +3,19 @@
 Ranges are disjoint rows (lo_ip, hi_ip, country struct<name, iso_code>,
 country_name, country_code). Each is cut once into the network blocks it consists of: prefixes
 of whole hex digits, at most 30 for each digit in which its ends differ. An address is then
-looked up by equality with its own prefixes, so it meets no range that does not hold it.
+looked up by equality with its own prefixes, so it meets no range that does not hold it. Only prefixes
+as long as some block's are asked for: what all addresses begin with is no key, unless a range holds them all.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallystream.functions.network import ip_key
+from tallystream.session import scratch_path
 
 KEY_DIGITS = 32
 HEX = "0123456789abcdef"
@@ -71,16 +75,36 @@ def network_table(ranges: DataFrame) -> DataFrame:
     return keyed.select(F.explode(network_blocks(F.col("lo"), F.col("hi"))).alias("prefix"), "geo_name", "geo_code")
 
 
-def with_country(rows: DataFrame, ranges: DataFrame, ip: str = "client_ip") -> DataFrame:
+@dataclass(frozen=True)
+class Networks:
+    """A written table of blocks (prefix, geo_name, geo_code), and the lengths that its prefixes have."""
+
+    blocks: DataFrame
+    lengths: list[int]
+
+
+def keep_networks(ranges: DataFrame, path: str) -> Networks:
+    """Cut the ranges into blocks and write them to `path`, a folder all executors share."""
+    network_table(ranges).write.mode("overwrite").parquet(path)
+    blocks = ranges.sparkSession.read.schema("prefix string, geo_name string, geo_code string").parquet(path)
+    # At most one row for each of 33 lengths.
+    found = blocks.select(F.length("prefix").alias("n")).distinct().collect()
+    return Networks(blocks, sorted(r.n for r in found if r.n is not None))
+
+
+def with_country(rows: DataFrame, ranges: DataFrame | Networks, ip: str = "client_ip") -> DataFrame:
     """Add geo_name and geo_code for the range holding `ip`; NULL when none does. Every address
-    is looked up once, however many rows it has; of nested ranges the narrowest block counts."""
+    is looked up once, however many rows it has, by its prefixes of the lengths that blocks have; of nested
+    ranges the narrowest block counts. Ranges that are looked up often are worth keeping as Networks."""
+    if isinstance(ranges, DataFrame):
+        ranges = keep_networks(ranges, scratch_path(rows.sparkSession, "networks"))
     rows = rows.withColumn("_key", ip_key(F.col(ip)))
     # No test for NULL keys, here or by the last join: it would be pushed below the parsing of
     # addresses and done for every row beneath. NULL keys have no prefixes and so find nothing.
     asked = rows.select("_key").distinct()
-    lengths = F.sequence(F.lit(0), F.lit(KEY_DIGITS))
+    lengths = F.array(*[F.lit(n) for n in ranges.lengths]) if ranges.lengths else F.array().cast("array<int>")
     asked = asked.select("_key", F.explode(F.transform(lengths, lambda n: _head(F.col("_key"), n))).alias("prefix"))
-    found = asked.join(network_table(ranges), "prefix").groupBy("_key").agg(
+    found = asked.join(ranges.blocks, "prefix").groupBy("_key").agg(
         F.max_by(F.struct("geo_name", "geo_code"), F.length("prefix")).alias("_found"))
     found = found.withColumnRenamed("_key", "_of")
     joined = rows.join(found, rows["_key"].eqNullSafe(found["_of"]), "left")

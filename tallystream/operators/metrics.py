@@ -121,11 +121,15 @@ def sample_events(
     exclude_bots: bool = True,
     bot_pattern: str = BOT_AGENT_PATTERN,
     max_rows: int | None = MAX_SAMPLE_ROWS,
+    newest_first: bool = True,
 ) -> DataFrame:
-    """Newest rows first; equal times in (event_id, sequence) order (our tie rule)."""
+    """Newest rows first; equal times in (event_id, sequence) order (our tie rule). Not newest_first:
+    any rows, as they are found."""
     rows = filter_bots(
         filter_optional(with_event_time(events), app_id, environment, event_name), exclude_bots, bot_pattern
     )
+    if not newest_first:
+        return sample_columns(rows.limit(checked_limit(limit, max_rows)))
     # Top-k first, on the stored columns, so that display columns are computed for k rows only.
     newest = rows.orderBy(F.desc("event_time"), "event_id", "nats_sequence").limit(
         checked_limit(limit, max_rows)

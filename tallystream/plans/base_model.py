@@ -18,7 +18,8 @@ from tallystream.operators.dedupe import dedupe_latest
 from tallystream.operators.filters import filter_received_range, instant_lit
 from tallystream.schemas import MODEL_LOOKBACK_HOURS, PROMOTED_FIELDS, RAW_COLUMNS
 from tallystream.session import scratch_path
-from tallystream.sources.stores import model_schema, scan_raw
+from tallystream.sources import folders, snapshots
+from tallystream.sources.stores import model_schema, scan_raw_days
 
 MODEL_PARTITIONS = ["received_hour", "event_date"]
 Field = tuple[str, str, str, str | None]
@@ -84,15 +85,17 @@ def refresh_model(
     """
     fields = enabled_fields() if fields is None else fields
     first = start - timedelta(hours=lookback_hours)
-    rows = base_model(scan_raw(spark, raw_root), first, end, fields)
+    raw = scan_raw_days(spark, raw_root, first.date(), end.date())
+    rows = base_model(raw, first, end, fields)
     rows = rows.withColumn("received_hour", _hour_key(F.col("received_at_ts")))
     schema = model_schema([(f[0], f[3]) for f in fields])
-    # Makes sure there is a table to compare with; adds nothing to one that exists.
-    spark.createDataFrame([], schema).write.mode("append").partitionBy(*MODEL_PARTITIONS).parquet(model_root)
     lo, hi = f"{first:%Y-%m-%d-%H}", f"{end - timedelta(microseconds=1):%Y-%m-%d-%H}"
-    old = scan_model(spark, model_root, fields).where(F.col("received_hour").between(lo, hi))
+    # Only the folders of the range are listed, of the raw layer and of the model.
+    hours = [n for n in folders.children(spark, model_root) if lo <= n.removeprefix("received_hour=") <= hi]
+    old = snapshots.scan(spark, model_root, schema, hours)
     old_folders = _folders(old)
-    if not (_whole_hour(first) and _whole_hour(end)):
+    carries = not (_whole_hour(first) and _whole_hour(end))
+    if carries:
         outside = (F.col("received_at_ts") < instant_lit(first)) | (
             F.col("received_at_ts") >= instant_lit(end)
         )
@@ -101,18 +104,23 @@ def refresh_model(
         carried = scratch_path(spark, "carried-rows")
         old.where(boundary & outside).write.parquet(carried)
         rows = rows.unionByName(spark.read.schema(old.schema).parquet(carried))
-    seen = Observation()
-    observed = rows.observe(
-        seen, F.collect_set(F.struct(*[F.col(c) for c in MODEL_PARTITIONS])).alias("folders")
-    )
-    (
-        observed.hint("rebalance", *MODEL_PARTITIONS)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*MODEL_PARTITIONS)
-        .parquet(model_root)
-    )
-    written = {tuple(f) for f in seen.get["folders"]}
+    written: set[tuple[str, ...]] = set()
+    if not (old_folders or raw.inputFiles()):
+        # Nothing there and nothing to add: an empty table, should there be none.
+        spark.createDataFrame([], schema).write.mode("append").partitionBy(*MODEL_PARTITIONS).parquet(model_root)
+    elif raw.inputFiles() or carries:
+        seen = Observation()
+        observed = rows.observe(
+            seen, F.collect_set(F.struct(*[F.col(c) for c in MODEL_PARTITIONS])).alias("folders")
+        )
+        (
+            observed.hint("rebalance", *MODEL_PARTITIONS)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(*MODEL_PARTITIONS)
+            .parquet(model_root)
+        )
+        written = {tuple(f) for f in seen.get["folders"]}
     nothing = spark.createDataFrame([], schema).drop(*MODEL_PARTITIONS)
     for received_hour, event_date in sorted(set(old_folders) - written):
         nothing.write.mode("overwrite").parquet(

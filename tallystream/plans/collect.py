@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from tallystream.operators.enrich import to_messages
 from tallystream.operators.flatten import flatten_raw
+from tallystream.operators.geo import Networks
 from tallystream.operators.requests import accepted_batches, judge_requests
 
 
 def collect_messages(
     requests: DataFrame,
     keys: DataFrame,
-    ranges: DataFrame | None = None,
+    ranges: DataFrame | Networks | None = None,
     salt: str = "",
     prefix: str = "events",
     store_raw_ip: bool = False,

@@ -8,13 +8,16 @@ below, no table or file but the given views, and no call that leaves SQL.
 from __future__ import annotations
 
 import re
+import threading
+import uuid
 from collections.abc import Iterator, Sequence
 
+from pyspark import InheritableThread
 from pyspark.errors import AnalysisException, ParseException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 
 from tallystream.operators.filters import checked_limit
-from tallystream.schemas import MAX_QUERY_ROWS
+from tallystream.schemas import MAX_QUERY_ROWS, MAX_QUERY_SECONDS
 
 # --- fixed values: how a statement may start, and words it must not contain -------
 STARTS = ["select", "with", "show", "describe", "desc", "explain"]
@@ -118,3 +121,40 @@ def readonly_sql(
         raise RefusedStatement("show tables, show views, and describe of a given view are the commands allowed")
     df = spark.sql(text, args=args)
     return df if max_rows is None else df.limit(max_rows)
+
+
+class TimeLimit(RuntimeError):
+    """The statement was stopped after its time was up."""
+
+
+def run_readonly_sql(spark: SparkSession, sql: str, seconds: float = MAX_QUERY_SECONDS, **options) -> list[Row]:
+    """The rows of `readonly_sql`, or TimeLimit after `seconds`.
+
+    The statement's jobs carry a tag of their own and are cancelled by it, so whatever else runs in the session
+    goes on. Options are those of `readonly_sql`; max_rows bounds what comes to the driver.
+    """
+    context, tag = spark.sparkContext, f"readonly-{uuid.uuid4().hex}"
+    done, late = threading.Event(), threading.Event()
+
+    def watch() -> None:
+        if done.wait(seconds):
+            return
+        late.set()
+        # A statement may start further jobs after one was cancelled.
+        while not done.wait(0.2):
+            context.cancelJobsWithTag(tag)
+
+    context.addJobTag(tag)
+    watcher = InheritableThread(target=watch, daemon=True)
+    watcher.start()
+    try:
+        rows = readonly_sql(spark, sql, **options).collect()
+    except Exception as error:
+        if late.is_set():
+            raise TimeLimit(f"stopped after {seconds} seconds") from error
+        raise
+    finally:
+        done.set()
+        context.removeJobTag(tag)
+        watcher.join()
+    return rows

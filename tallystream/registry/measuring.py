@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from tallystream.functions.identity import actor_id
 from tallystream.operators import filters, funnel, metrics
+from tallystream.plans.newest import newest_events
 from tallystream.plans.readonly_sql import readonly_sql
 from tallystream.registry import register
-from tallystream.registry.fixture import SERVING_CTE, events_view, ts_text
+from tallystream.registry.fixture import SERVING_CTE, events_view, serving_store, ts_text
 from tallystream.schemas import BOT_AGENT_PATTERN
 
 NOT_BOT = f"not regexp_matches(lower(coalesce(ingest_user_agent, '')), '{BOT_AGENT_PATTERN}')"
@@ -125,6 +126,16 @@ def _(spark, sf):
     return metrics.sample_events(events_view(spark, sf), limit=500)
 
 
+@register(
+    "sample_newest_days",
+    _with(f"select {SAMPLE} from (select * from serving where {PROD} and event_name = 'purchase' "
+          "order by event_time desc, event_id, nats_sequence limit 50) s"),
+)
+def _(spark, sf):
+    """The same tool over the last days only."""
+    return newest_events(spark, serving_store(spark, sf), limit=50, event_name="purchase")
+
+
 @register(
     "checked_limit",
     _with(f"select {SAMPLE} from (select * from serving where {PROD} and app_id = 'app_2' "

@@ -63,6 +63,7 @@ MAX_FILE_BYTES = 4_194_304
 MAX_DELIVERIES = 10
 MODEL_LOOKBACK_HOURS = 6
 MAX_QUERY_ROWS = 500
+MAX_QUERY_SECONDS = 30
 MAX_SAMPLE_ROWS = 50
 BOT_AGENT_PATTERN = "bot|spider|crawler|headless|bytespider|ahrefs|googlebot"
 

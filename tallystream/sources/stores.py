@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -38,6 +38,16 @@ def scan_raw_hours(spark: SparkSession, root: str, hours: Sequence[tuple[str, st
     return rows.select(*RAW_COLUMNS, "event_date", "hour")
 
 
+def scan_raw_days(spark: SparkSession, root: str, first: date, last: date) -> DataFrame:
+    """The folders of the days from first to last, both included; no other day's are listed."""
+    days = [f"{first + timedelta(days=n):%Y-%m-%d}" for n in range((last - first).days + 1)]
+    there = [p for day in days if folders.matches(spark, p := f"{root}/app_id=*/event_date={day}")]
+    if not there:
+        return spark.createDataFrame([], RAW_STORE_SCHEMA)
+    rows = spark.read.schema(RAW_STORE_SCHEMA).option("basePath", root).parquet(*there)
+    return rows.select(*RAW_COLUMNS, "event_date", "hour")
+
+
 def hour_file_count(raw: DataFrame) -> DataFrame:
     """Files and rows per (event_date, hour). Reads no data columns."""
     return (

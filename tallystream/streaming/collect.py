@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tallystream.operators.geo import keep_networks
 from tallystream.plans.collect import collect_messages
 from tallystream.schemas import DEDUP_WINDOW_SECONDS, FLUSH_INTERVAL_SECONDS
+from tallystream.session import scratch_path
 from tallystream.streaming.dedupe import dedupe_batch
 from tallystream.streaming.landing import land_batch, stream_name, trigger
 
@@ -32,9 +34,11 @@ def collect_stream(
     again and lands each message once. `options` go to `collect_messages`.
     """
     name = stream_name(checkpoint)
+    # The country table is cut and written once, not in each micro-batch.
+    networks = None if ranges is None else keep_networks(ranges, scratch_path(ranges.sparkSession, "networks"))
 
     def run(batch: DataFrame, number: int) -> None:
-        sent = collect_messages(batch, keys, ranges, salt, **options).withColumns(
+        sent = collect_messages(batch, keys, networks, salt, **options).withColumns(
             {"stream": F.lit(stream), "sequence": F.col("position").cast("string")}
         )
         path = f"{state_root}/sent"

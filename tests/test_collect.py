@@ -6,6 +6,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
+from tallystream.session import scratch_path
 from tallystream.operators import enrich, flatten, geo
 from tallystream.operators import requests as ops
 from tallystream.plans.collect import collect_messages, messages_to_raw
@@ -221,3 +222,16 @@ def test_lookup_of_wide_nested_and_neighbouring_ranges(spark):
     plan = found._jdf.queryExecution().executedPlan().toString()
     joins = [line for line in plan.splitlines() if "Join" in line]
     assert joins and not any(sign in line for line in joins for sign in (" >= ", " <= ", " < ", " > "))
+
+
+def test_only_prefixes_that_blocks_have_are_asked_for(spark):
+    table = spark.createDataFrame(
+        [("10.0.0.0", "10.255.255.255", None, "Ten", "te"), ("10.1.2.0", "10.1.2.255", None, "Inner", "in"), ("2001:db8::", "2001:db8:ffff:ffff:ffff:ffff:ffff:ffff", None, "Six", "si")],
+        "lo_ip string, hi_ip string, country struct<name:string,iso_code:string>, country_name string, country_code string")
+    networks = geo.keep_networks(table, scratch_path(spark, "networks"))
+    assert networks.lengths == [8, 26, 30]
+    ips = spark.createDataFrame([("10.1.2.3",), ("10.9.9.9",), ("11.0.0.1",), ("2001:db8::1",), ("x",), (None,)], "client_ip string")
+    got = {r.client_ip: r.geo_name for r in geo.with_country(ips, networks).collect()}
+    assert got == {"10.1.2.3": "Inner", "10.9.9.9": "Ten", "11.0.0.1": None, "2001:db8::1": "Six", "x": None, None: None}
+    none = geo.keep_networks(table.where("false"), scratch_path(spark, "networks"))
+    assert none.lengths == [] and geo.with_country(ips, none).where("geo_name is not null").count() == 0

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta
 
 import pytest
@@ -9,7 +10,8 @@ from tallystream.operators import filters, metrics
 from tallystream.plans import base_model as model
 from tallystream.plans import readonly_sql as sql
 from tallystream.plans.landing import land_raw
-from tallystream.plans.serving import load_hour, serving_rows
+from tallystream.plans.newest import newest_events
+from tallystream.plans.serving import load_hour, load_serving, serving_rows
 from tallystream.schemas import JSON_COLUMNS, PROMOTED_FIELDS, RAW_COLUMNS, RAW_SCHEMA, SERVING_COLUMNS
 from tallystream.sources import snapshots
 from tallystream.sources.stores import scan_raw, scan_raw_hour, scan_serving
@@ -254,3 +256,44 @@ def test_active_users_of_all_days_unless_asked(spark):
     assert metrics.daily_active_users(rows, "2000-01-01", "2050-01-01").count() == 520
     assert metrics.daily_active_users(rows, "2000-01-01", "2050-01-01", max_rows=500).count() == 500
     assert metrics.list_event_names(rows, bot_pattern="maps").count() == 0
+
+
+def test_newest_events_read_the_last_days_only(spark, tmp_path):
+    rows = [{"event_id": f"{d}-{n}", "event_timestamp": f"2026-04-{d:02d}T{n:02d}:00:00Z", "event_name": "rare" if d == 2 else "common"}
+            for d in range(1, 21) for n in range(4)]
+    land_raw(raw(spark, *rows), str(tmp_path / "raw"))
+    root = str(tmp_path / "table")
+    load_serving(scan_raw(spark, str(tmp_path / "raw")), root)
+    for limit, days in ((4, 1), (5, 3), (50, 20)):
+        got = newest_events(spark, root, limit=limit)
+        assert [r.event_id for r in got.collect()] == [r.event_id for r in metrics.sample_events(scan_serving(spark, root), limit=limit).collect()]
+        assert len({f.split("event_date=")[1][:10] for f in got.inputFiles()}) <= days
+    assert [r.event_id for r in newest_events(spark, root, event_name="rare", limit=2).collect()] == ["2-3", "2-2"]
+    assert newest_events(spark, root, event_name="none").count() == 0 and newest_events(spark, str(tmp_path / "no"), limit=3).count() == 0
+
+
+def test_a_slow_statement_is_stopped_and_others_go_on(spark):
+    spark.range(50).createOrReplaceTempView("numbers")
+    spark.range(3_000_000).createOrReplaceTempView("many")
+    slow = "select sum(length(sha2(cast(a.id * b.id as string), 512))) as s from many a join numbers n on a.id % 50 = n.id join many b on a.id % 1000 = b.id % 1000"
+    with ThreadPoolExecutor(2) as pool:
+        other = pool.submit(lambda: [len(sql.run_readonly_sql(spark, "select * from numbers", seconds=60)) for _ in range(8)])
+        with pytest.raises(sql.TimeLimit):
+            sql.run_readonly_sql(spark, slow, seconds=1.5)
+        assert other.result() == [50] * 8
+    assert sql.run_readonly_sql(spark, "select count(*) as n from numbers")[0].n == 50
+    with pytest.raises(sql.RefusedStatement):
+        sql.run_readonly_sql(spark, "drop view numbers")
+
+
+def test_a_model_refresh_lists_its_own_folders_only(spark, tmp_path, monkeypatch):
+    raw_root, root, seen = str(tmp_path / "raw"), str(tmp_path / "model"), []
+    land_raw(raw(spark, *[{"event_id": str(d), "event_timestamp": f"2026-04-{d:02d}T10:00:00Z", "received_at": f"2026-04-{d:02d}T10:00:01+00:00"} for d in range(1, 6)]), raw_root)
+    scan = model.base_model
+    monkeypatch.setattr(model, "base_model", lambda rows, *rest: seen.append(rows.inputFiles()) or scan(rows, *rest))
+    for d in range(1, 6):
+        model.refresh_model(spark, raw_root, root, datetime(2026, 4, d, 10), datetime(2026, 4, d, 11))
+    assert sorted(r.event_id for r in model.scan_model(spark, root).collect()) == list("12345")
+    assert [len(files) for files in seen] == [1] * 5 and "event_date=2026-04-05" in seen[-1][0]
+    model.refresh_model(spark, str(tmp_path / "none"), str(tmp_path / "empty"), datetime(2026, 4, 1), datetime(2026, 4, 2))
+    assert model.scan_model(spark, str(tmp_path / "empty")).count() == 0
