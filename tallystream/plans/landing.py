@@ -13,7 +13,7 @@ def partitioned_raw(rows: DataFrame) -> DataFrame:
     return with_partition(rows).select(*RAW_COLUMNS, "event_date", "hour")
 
 
-def land_raw(rows: DataFrame, root: str, max_rows_per_file: int = 0, mode: str = "append") -> None:
+def land_raw(rows: DataFrame, root: str, max_rows_per_file: int = 0, mode: str = "append", **options: str) -> None:
     """Write raw rows (25 columns, or with event_date and hour already added).
 
     The rebalance gathers each partition's rows so that small ones get one file,
@@ -26,7 +26,7 @@ def land_raw(rows: DataFrame, root: str, max_rows_per_file: int = 0, mode: str =
         rows.hint("rebalance", *RAW_PARTITIONS)
         .write.mode(mode)
         .partitionBy(*RAW_PARTITIONS)
-        .option("compression", "snappy")
+        .options(compression="snappy", **options)
     )
     if max_rows_per_file:
         writer = writer.option("maxRecordsPerFile", max_rows_per_file)

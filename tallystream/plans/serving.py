@@ -102,7 +102,7 @@ def write_segment(rows: DataFrame, root: str, name: str, in_ranges: bool = False
     spark, path = rows.sparkSession, f"{root}/seg={name}"
     order = ["event_date", *[c for c in SERVING_SORT if c != "event_date"]]
     dealt = rows.repartitionByRange(*order) if in_ranges else rows.hint("rebalance", "event_date")
-    dealt.sortWithinPartitions(*order).write.mode("overwrite").partitionBy("event_date").parquet(path)
+    dealt.sortWithinPartitions(*order).write.mode("overwrite").partitionBy("event_date").options(**folders.STAGED).parquet(path)
     files: dict[str, list[int]] = {}
     for file, size in folders.sizes(spark, path).items():
         files.setdefault(file.split("/")[0], []).append(size)

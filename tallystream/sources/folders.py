@@ -68,17 +68,23 @@ def move(spark: SparkSession, moves: Iterable[tuple[str, str]]) -> None:
         list(pool.map(rename, moves))
 
 
+# Tasks put their files in place themselves, for folders that nobody reads before they are whole.
+STAGED = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
+
+
 def leaf_files(spark: SparkSession, path: str) -> list[str]:
-    """Data files in all folders below `path`, as paths from there."""
+    """Data files in `path` and its key=value folders, as paths from there. One listing for each depth."""
     system, made = _path(spark, path)
     if not system.exists(made):
         return []
-    base, found = system.resolvePath(made).toUri().getPath(), []
-    files = system.listFiles(made, True)
-    while files.hasNext():
-        file = files.next().getPath().toUri().getPath()[len(base):].strip("/")
-        if not file.rsplit("/", 1)[-1].startswith(("_", ".")):
-            found.append(file)
+    base, found, inner = system.resolvePath(made).toUri().getPath().rstrip("/"), [], ""
+    while inner is not None:
+        listed = spark._jvm.org.apache.hadoop.fs.FileUtil.stat2Paths(system.globStatus(_path_only(spark, f"{path}/{inner}*")))
+        names = [p.toString() for p in listed or ()]
+        names = [n[n.index(base) + len(base):].strip("/") for n in names]
+        last = [n.rsplit("/", 1)[-1] for n in names]
+        found += [n for n, own in zip(names, last) if "=" not in own and not own.startswith(("_", "."))]
+        inner = f"{inner}*=*/" if any("=" in own for own in last) else None
     return sorted(found)
 
 

@@ -11,7 +11,7 @@ from tallystream.plans.collect import collect_messages
 from tallystream.schemas import DEDUP_WINDOW_SECONDS, FLUSH_INTERVAL_SECONDS
 from tallystream.session import scratch_path
 from tallystream.streaming.dedupe import dedupe_batch
-from tallystream.streaming.landing import land_batch, stream_name, trigger
+from tallystream.streaming.landing import land_or_set_aside, stream_name, trigger
 
 
 def collect_stream(
@@ -31,7 +31,7 @@ def collect_stream(
 
     A micro-batch's messages are written once to state_root/sent, since removing resends reads
     them twice; state_root also holds the recent keys. A micro-batch that fails half-way is run
-    again and lands each message once. `options` go to `collect_messages`.
+    again and lands each message once; messages that keep failing are set aside in the raw layer. `options` go to `collect_messages`.
     """
     name = stream_name(checkpoint)
     # The country table is cut and written once, not in each micro-batch.
@@ -46,7 +46,7 @@ def collect_stream(
         dedupe_batch(
             batch.sparkSession.read.schema(sent.schema).parquet(path), number, state_root, window,
             order=("request_id", "position"),
-            sink=lambda kept, n: land_batch(kept, raw_root, name, n),
+            sink=lambda kept, n: land_or_set_aside(kept, raw_root, name, n),
         )
 
     return (

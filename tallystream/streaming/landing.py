@@ -59,12 +59,21 @@ def land_batch(
             flat = f"{root}/_flat-{mark}"
             # Parsed and written once; sizing the files reads it twice.
             with_partition(flatten_raw(messages, "message_bytes")).write.mode("overwrite").parquet(flat)
-            rows = numbered_files(spark.read.parquet(flat), max_rows_per_file, max_bytes_per_file)
-            keys = [*RAW_PARTITIONS, "file"]
-            rows.hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys).option("compression", "snappy").parquet(staged)
+            rows = spark.read.parquet(flat)
+            sizes = rows.groupBy(*RAW_PARTITIONS).agg(F.count("*").alias("n"), F.sum("message_bytes").alias("b"))
+            beyond = F.lit(False)
+            for size, bound in (("n", max_rows_per_file), ("b", max_bytes_per_file)):
+                beyond = beyond | (F.col(size) > bound) if bound else beyond
+            if sizes.where(beyond).isEmpty():
+                land_raw(rows.drop("message_bytes"), staged, mode="overwrite", **folders.STAGED)
+            else:
+                keys = [*RAW_PARTITIONS, "file"]
+                rows = numbered_files(rows, max_rows_per_file, max_bytes_per_file)
+                writer = rows.hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys)
+                writer.options(compression="snappy", **folders.STAGED).parquet(staged)
             folders.remove(spark, flat)
         else:
-            land_raw(partitioned_raw(flatten_raw(messages)), staged, mode="overwrite")
+            land_raw(partitioned_raw(flatten_raw(messages)), staged, mode="overwrite", **folders.STAGED)
     moves = []
     for path in folders.leaf_files(spark, staged):
         folder, name = path.rsplit("/", 1)
