@@ -139,6 +139,8 @@ CLIENT_TIME_STEPS = [
     (r"([+-]\d{2})(\d{2})$", "$1:$2"),
     (r"[+-]00:00$", "Z"),
 ]
+# What nearly all clients send.
+PLAIN_CLIENT_TIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?Z$"
 CLIENT_EPOCH = r"^[+-]?\d+(\.\d*)?$"
 # Numbers beyond this many seconds are milliseconds.
 EPOCH_MILLIS_FROM = 20_000_000_000
@@ -165,9 +167,11 @@ def _client_spelling(text: Column) -> Column:
 def client_time_ok(text: Column) -> Column:
     """True when a client may send this text (or number) as a time."""
     t = F.trim(text)
-    return F.when(
-        t.rlike(CLIENT_TIME), _client_spelling(t).try_cast("timestamp").isNotNull()
-    ).otherwise(_client_epoch(t).isNotNull())
+    return (
+        F.when(t.rlike(PLAIN_CLIENT_TIME), t.try_cast("timestamp").isNotNull())
+        .when(t.rlike(CLIENT_TIME), _client_spelling(t).try_cast("timestamp").isNotNull())
+        .otherwise(_client_epoch(t).isNotNull())
+    )
 
 
 def client_time_text(text: Column) -> Column:
@@ -177,6 +181,10 @@ def client_time_text(text: Column) -> Column:
     as no zone, epoch numbers written as UTC.
     """
     t = F.trim(text)
-    return F.when(t.rlike(CLIENT_TIME), _client_spelling(t)).when(
-        t.rlike(CLIENT_EPOCH), F.regexp_replace(iso_offset_text(_client_epoch(t)), r"\+00:00$", "Z")
+    digits = F.rpad(F.substr(t, F.lit(21), F.length(t) - 21), 6, "0")
+    fraction = F.when((F.length(t) == 20) | (digits == "000000"), "").otherwise(F.concat(F.lit("."), digits))
+    return (
+        F.when(t.rlike(PLAIN_CLIENT_TIME), F.concat(F.left(t, F.lit(19)), fraction, F.lit("Z")))
+        .when(t.rlike(CLIENT_TIME), _client_spelling(t))
+        .when(t.rlike(CLIENT_EPOCH), F.regexp_replace(iso_offset_text(_client_epoch(t)), r"\+00:00$", "Z"))
     )

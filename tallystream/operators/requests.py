@@ -35,39 +35,49 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _not_text(k: Column, v: Column, path: str) -> Column:
-    return k != "STRING"
+def _wrong_text(kind_: Column, value: Column) -> Column:
+    return kind_ != "STRING"
 
 
-def _not_object(k: Column, v: Column, path: str) -> Column:
-    return ~k.startswith("OBJECT")
+def _wrong_time(kind_: Column, value: Column) -> Column:
+    text = F.try_variant_get(value, "$", "string")
+    return ~(((kind_ == "STRING") | kind_.rlike(NUMBER_KINDS)) & _let(text, client_time_ok))
 
 
-def _not_time(k: Column, v: Column, path: str) -> Column:
-    text = F.try_variant_get(v, path, "string")
-    return ~(((k == "STRING") | k.rlike(NUMBER_KINDS)) & client_time_ok(text))
+def _wrong_flag(kind_: Column, value: Column) -> Column:
+    return _let(
+        F.lower(F.try_variant_get(value, "$", "string")),
+        lambda word: ~(
+            (kind_ == "BOOLEAN")
+            | ((kind_ == "STRING") & word.isin(TRUE_WORDS + FALSE_WORDS))
+            | (kind_.rlike(NUMBER_KINDS) & F.coalesce(word.try_cast("double").isin(0.0, 1.0), F.lit(False)))
+        ),
+    )
 
 
-def _not_flag(k: Column, v: Column, path: str) -> Column:
-    word = F.lower(F.try_variant_get(v, path, "string"))
-    return ~(
-        (k == "BOOLEAN")
-        | ((k == "STRING") & word.isin(TRUE_WORDS + FALSE_WORDS))
-        | (k.rlike(NUMBER_KINDS) & F.coalesce(word.try_cast("double").isin(0.0, 1.0), F.lit(False)))
+def _wrong(value: Column, check, required: bool) -> Column:
+    """Whether a member of the event fails its check. Unless it is required, a member may be left out or null."""
+    judged = _let(
+        F.schema_of_variant(value),
+        lambda k: F.when((k == "VOID") & (not required), False).otherwise(F.coalesce(check(k, value), F.lit(True))),
     )
+    return F.when(value.isNull(), required).otherwise(judged)
+
 
+def _checks() -> dict[str, object]:
+    scalars = {"event_timestamp": _wrong_time, "received_at": _wrong_time}
+    return {name: scalars.get(name, _wrong_text) for name in [*REQUIRED_TEXT, "event_timestamp", "environment", "received_at"]}
 
-def _members() -> list[tuple[str, object, bool, bool]]:
-    """(path, check, must be present, may be null) in the order they are judged."""
-    rules = [(name, _not_text, True, False) for name in REQUIRED_TEXT]
-    rules += [("event_timestamp", _not_time, True, False)]
-    rules += [("environment", _not_text, False, True), ("received_at", _not_time, False, True)]
-    rules += [(name, _not_object, False, True) for name in CONTEXTS]
-    for context, members in CONTEXTS.items():
-        for member in members:
-            check = _not_flag if context == "consent" else _not_time if member == "received_at" else _not_text
-            rules.append((f"{context}.{member}", check, False, True))
-    return rules + [(name, _not_object, False, False) for name in OPEN_MAPS]
+
+# One pass over an event lays its members out; what is no object has no members here. An open map
+# is there if it is an object, whatever it holds.
+_LAID_OUT = "struct<{}>".format(
+    ", ".join(
+        [f"{name}: variant" for name in _checks()]
+        + [f"{name}: struct<{', '.join(f'{m}: variant' for m in members)}>" for name, members in CONTEXTS.items()]
+        + [f"{name}: struct<{name}: variant>" for name in OPEN_MAPS]
+    )
+)
 
 
 def envelope_problem(event_json: Column) -> Column:
@@ -80,16 +90,27 @@ def envelope_problem(event_json: Column) -> Column:
     """
 
     def judge(v: Column) -> Column:
-        object_text = v.isNotNull() & F.ltrim(event_json).startswith("{")
-        verdict = F.when(~F.coalesce(object_text, F.lit(False)), "event")
-        for path, check, required, nullable in _members():
-            k = kind(v, f"$.{path}")
-            wrong = F.coalesce(check(k, v, f"$.{path}"), F.lit(True))
-            if not required:
-                excused = k.isNull() | (k == "VOID") if nullable else k.isNull()
-                wrong = ~excused & wrong
-            verdict = verdict.when(wrong, path)
-        return verdict
+        # Looked up only where the layout shows no object: left out, null, or something else.
+        def no_object(name: str, nullable: bool, laid: Column) -> Column:
+            found = _let(kind(v, f"$.{name}"), lambda k: k.isNotNull() & ((k != "VOID") | (not nullable)))
+            return laid[name].isNull() & found
+
+        def verdict(laid: Column) -> Column:
+            out = F.when(laid.isNull(), "event")
+            for name, check in _checks().items():
+                out = out.when(_wrong(laid[name], check, name not in ("environment", "received_at")), name)
+            for name in CONTEXTS:
+                out = out.when(no_object(name, True, laid), name)
+            for context, members in CONTEXTS.items():
+                for member in members:
+                    check = _wrong_flag if context == "consent" else _wrong_time if member == "received_at" else _wrong_text
+                    wrong = _wrong(laid[context][member], check, False)
+                    out = out.when(laid[context].isNotNull() & wrong, f"{context}.{member}")
+            for name in OPEN_MAPS:
+                out = out.when(no_object(name, False, laid), name)
+            return out
+
+        return _let(F.try_variant_get(v, "$", _LAID_OUT), verdict)
 
     return _let(F.try_parse_json(event_json), judge)
 

@@ -37,7 +37,7 @@ def evaluate(spark):
     def run(values, expression):
         from pyspark.sql import functions as F
 
-        rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string")
+        rows = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v string").coalesce(1)
         return [r[1] for r in rows.select("i", expression(F.col("v"))).orderBy("i").collect()]
 
     return run

@@ -15,9 +15,8 @@ from tallystream.schemas import RAW_COLUMNS, RAW_SCHEMA
 EVENT = {"event_id": "1", "app_id": "a", "event_name": "n", "event_timestamp": "2026-03-20T18:42:15.123Z"}
 
 
-@pytest.mark.parametrize(
-    ("change", "problem"),
-    [
+def test_envelope(evaluate):
+    cases = [
         ({}, None),
         ({"event_id": 1}, "event_id"),
         ({"app_id": None}, "app_id"),
@@ -38,11 +37,20 @@ EVENT = {"event_id": "1", "app_id": "a", "event_name": "n", "event_timestamp": "
         ({"event_params": {"any": [1, {"x": None}]}}, None),
         ({"user_properties": "x"}, "user_properties"),
         ({"unknown": {"x": 1}}, None),
-    ],
-)
-def test_envelope(evaluate, change, problem):
-    event = {k: v for k, v in {**EVENT, **change}.items() if v is not ...}
-    assert evaluate([json.dumps(event)], ops.envelope_problem) == [problem]
+        ({"app_id": {"app_id": "a"}}, "app_id"),
+        ({"event_timestamp": "2026-03-20T25:00:00Z"}, "event_timestamp"),
+        ({"event_timestamp": ["2026-03-20"]}, "event_timestamp"),
+        ({"received_at": None, "geo": {}, "ingest": {"received_at": None}}, None),
+        ({"device": "phone", "geo": {"city": 1}}, "device"),
+        ({"geo": {"city": {"x": 1}}}, "geo.city"),
+        ({"consent": {"ads_storage": []}}, "consent.ads_storage"),
+        ({"event_params": {}}, None),
+        ({"event_params": []}, "event_params"),
+        ({"event_params": {"event_params": 5}}, None),
+    ]
+    events = [{k: v for k, v in {**EVENT, **change}.items() if v is not ...} for change, _ in cases]
+    got = evaluate([json.dumps(event) for event in events], ops.envelope_problem)
+    assert [(change, problem) for (change, _), problem in zip(cases, got, strict=True)] == cases
 
 
 def test_not_an_event(evaluate):

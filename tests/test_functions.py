@@ -55,6 +55,8 @@ def test_client_times_are_spelled_one_way(evaluate):
     spelled = {
         "2026-03-20T18:42:15.123Z": "2026-03-20T18:42:15.123000Z",
         "2026-03-20T18:42:15Z": "2026-03-20T18:42:15Z",
+        "2026-03-20T18:42:15.000Z": "2026-03-20T18:42:15Z",
+        "2026-03-20T18:42:15.1234567Z": "2026-03-20T18:42:15.123456Z",
         "2026-03-20t18:42z": "2026-03-20T18:42:00Z",
         "2026-03-20 18:42:15.5+0200": "2026-03-20T18:42:15.500000+02:00",
         "2026-03-20T18:42:15+00:00": "2026-03-20T18:42:15Z",
