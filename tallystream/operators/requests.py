@@ -35,45 +35,37 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _wrong_text(kind_: Column, value: Column) -> Column:
-    return kind_ != "STRING"
+def _wrong_time(kind_: Column, text: Column) -> Column:
+    return ~(((kind_ == "STRING") | kind_.rlike(NUMBER_KINDS)) & client_time_ok(text))
 
 
-def _wrong_time(kind_: Column, value: Column) -> Column:
-    text = F.try_variant_get(value, "$", "string")
-    return ~(((kind_ == "STRING") | kind_.rlike(NUMBER_KINDS)) & _let(text, client_time_ok))
-
-
-def _wrong_flag(kind_: Column, value: Column) -> Column:
-    return _let(
-        F.lower(F.try_variant_get(value, "$", "string")),
-        lambda word: ~(
-            (kind_ == "BOOLEAN")
-            | ((kind_ == "STRING") & word.isin(TRUE_WORDS + FALSE_WORDS))
-            | (kind_.rlike(NUMBER_KINDS) & F.coalesce(word.try_cast("double").isin(0.0, 1.0), F.lit(False)))
-        ),
+def _wrong_flag(kind_: Column, text: Column) -> Column:
+    word = F.lower(text)
+    return ~(
+        (kind_ == "BOOLEAN")
+        | ((kind_ == "STRING") & word.isin(TRUE_WORDS + FALSE_WORDS))
+        | (kind_.rlike(NUMBER_KINDS) & F.coalesce(word.try_cast("double").isin(0.0, 1.0), F.lit(False)))
     )
 
 
-def _wrong(value: Column, check, required: bool) -> Column:
-    """Whether a member of the event fails its check. Unless it is required, a member may be left out or null."""
-    judged = _let(
-        F.schema_of_variant(value),
-        lambda k: F.when((k == "VOID") & (not required), False).otherwise(F.coalesce(check(k, value), F.lit(True))),
-    )
-    return F.when(value.isNull(), required).otherwise(judged)
-
-
-def _checks() -> dict[str, object]:
-    scalars = {"event_timestamp": _wrong_time, "received_at": _wrong_time}
-    return {name: scalars.get(name, _wrong_text) for name in [*REQUIRED_TEXT, "event_timestamp", "environment", "received_at"]}
+def _members() -> list[tuple[str, str, bool, bool]]:
+    """(path, rule, must be present, may be null) in the order they are judged."""
+    rules = [(name, "text", True, False) for name in REQUIRED_TEXT]
+    rules += [("event_timestamp", "time", True, False)]
+    rules += [("environment", "text", False, True), ("received_at", "time", False, True)]
+    rules += [(name, "object", False, True) for name in CONTEXTS]
+    for context, members in CONTEXTS.items():
+        for member in members:
+            rule = "flag" if context == "consent" else "time" if member == "received_at" else "text"
+            rules.append((f"{context}.{member}", rule, False, True))
+    return rules + [(name, "object", False, False) for name in OPEN_MAPS]
 
 
 # One pass over an event lays its members out; what is no object has no members here. An open map
 # is there if it is an object, whatever it holds.
 _LAID_OUT = "struct<{}>".format(
     ", ".join(
-        [f"{name}: variant" for name in _checks()]
+        [f"{path}: variant" for path, rule, _, _ in _members() if rule != "object" and "." not in path]
         + [f"{name}: struct<{', '.join(f'{m}: variant' for m in members)}>" for name, members in CONTEXTS.items()]
         + [f"{name}: struct<{name}: variant>" for name in OPEN_MAPS]
     )
@@ -87,28 +79,39 @@ def envelope_problem(event_json: Column) -> Column:
     may be ISO text or epoch numbers; flags may be true/false or the usual words
     for them; contexts may be null, the two open maps may only be left out.
     Unknown fields are ignored.
+
+    The members are judged as an array by one expression, which keeps the plan small: a
+    stream plans it for each micro-batch.
     """
+    paths, rules, required, nullable = (F.lit(list(column)) for column in zip(*_members()))
 
-    def judge(v: Column) -> Column:
+    def value(v: Column, laid: Column, path: str, rule: str) -> Column:
+        found = laid
+        for name in path.split("."):
+            found = found[name]
         # Looked up only where the layout shows no object: left out, null, or something else.
-        def no_object(name: str, nullable: bool, laid: Column) -> Column:
-            found = _let(kind(v, f"$.{name}"), lambda k: k.isNotNull() & ((k != "VOID") | (not nullable)))
-            return laid[name].isNull() & found
+        return F.when(found.isNull(), F.try_variant_get(v, f"$.{path}", "variant")) if rule == "object" else found
+
+    def wrong(value: Column, i: Column) -> Column:
+        of_kind = lambda k: (
+            F.when(k == "VOID", ~nullable[i])
+            .when(rules[i] == "text", k != "STRING")
+            .when(rules[i] == "object", True)
+            .otherwise(
+                _let(
+                    F.try_variant_get(value, "$", "string"),
+                    lambda text: F.when(rules[i] == "time", _wrong_time(k, text)).otherwise(_wrong_flag(k, text)),
+                )
+            )
+        )
+        judged = F.coalesce(_let(F.schema_of_variant(value), of_kind), F.lit(True))
+        return F.when(value.isNull(), required[i]).otherwise(judged)
 
+    def judge(v: Column) -> Column:
         def verdict(laid: Column) -> Column:
-            out = F.when(laid.isNull(), "event")
-            for name, check in _checks().items():
-                out = out.when(_wrong(laid[name], check, name not in ("environment", "received_at")), name)
-            for name in CONTEXTS:
-                out = out.when(no_object(name, True, laid), name)
-            for context, members in CONTEXTS.items():
-                for member in members:
-                    check = _wrong_flag if context == "consent" else _wrong_time if member == "received_at" else _wrong_text
-                    wrong = _wrong(laid[context][member], check, False)
-                    out = out.when(laid[context].isNotNull() & wrong, f"{context}.{member}")
-            for name in OPEN_MAPS:
-                out = out.when(no_object(name, False, laid), name)
-            return out
+            values = F.array(*[value(v, laid, path, rule) for path, rule, _, _ in _members()])
+            found = F.filter(F.transform(values, lambda x, i: F.when(wrong(x, i), paths[i])), lambda p: p.isNotNull())
+            return F.when(laid.isNull(), "event").otherwise(F.try_element_at(found, F.lit(1)))
 
         return _let(F.try_variant_get(v, "$", _LAID_OUT), verdict)
 

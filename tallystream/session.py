@@ -21,6 +21,9 @@ SCALE_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    # Noting the call site of every column costs a third of the time to build a plan, and a
+    # stream builds its plan for each micro-batch.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 _local_scratch: dict[str, str] = {}
