@@ -69,10 +69,17 @@ def network_blocks(lo: Column, hi: Column) -> Column:
 
 
 def network_table(ranges: DataFrame) -> DataFrame:
-    """prefix, geo_name and geo_code of every block; worth writing once for many lookups."""
+    """prefix, geo_name and geo_code of every block; worth writing once for many lookups.
+
+    Cutting costs far more than reading, and a file of all ranges is one task's, so ranges are dealt out first.
+    The outer form, since for the plain one the optimizer adds a check of the blocks below, which would
+    parse both ends once more for every digit that is looked at.
+    """
     keyed = normalise_country(ranges).select(
         ip_key(F.col("lo_ip")).alias("lo"), ip_key(F.col("hi_ip")).alias("hi"), "geo_name", "geo_code")
-    return keyed.select(F.explode(network_blocks(F.col("lo"), F.col("hi"))).alias("prefix"), "geo_name", "geo_code")
+    dealt = keyed.repartition(int(ranges.sparkSession.conf.get("spark.sql.shuffle.partitions")), "lo", "hi")
+    blocks = F.explode_outer(network_blocks(F.col("lo"), F.col("hi")))
+    return dealt.select(blocks.alias("prefix"), "geo_name", "geo_code").where(F.col("prefix").isNotNull())
 
 
 @dataclass(frozen=True)
@@ -92,18 +99,25 @@ def keep_networks(ranges: DataFrame, path: str) -> Networks:
     return Networks(blocks, sorted(r.n for r in found if r.n is not None))
 
 
-def with_country(rows: DataFrame, ranges: DataFrame | Networks, ip: str = "client_ip") -> DataFrame:
+def with_country(
+    rows: DataFrame, ranges: DataFrame | Networks, ip: str = "client_ip", addresses: DataFrame | None = None
+) -> DataFrame:
     """Add geo_name and geo_code for the range holding `ip`; NULL when none does. Every address
     is looked up once, however many rows it has, by its prefixes of the lengths that blocks have; of nested
-    ranges the narrowest block counts. Ranges that are looked up often are worth keeping as Networks."""
+    ranges the narrowest block counts. Ranges that are looked up often are worth keeping as Networks.
+
+    The addresses are taken from `rows`, which is read twice for that, or from the column `ip` of `addresses`,
+    which holds all addresses of `rows` and may be cheaper."""
     if isinstance(ranges, DataFrame):
         ranges = keep_networks(ranges, scratch_path(rows.sparkSession, "networks"))
-    rows = rows.withColumn("_key", ip_key(F.col(ip)))
     # No test for NULL keys, here or by the last join: it would be pushed below the parsing of
     # addresses and done for every row beneath. NULL keys have no prefixes and so find nothing.
-    asked = rows.select("_key").distinct()
+    asked = (rows if addresses is None else addresses).select(ip_key(F.col(ip)).alias("_key")).distinct()
     lengths = F.array(*[F.lit(n) for n in ranges.lengths]) if ranges.lengths else F.array().cast("array<int>")
-    asked = asked.select("_key", F.explode(F.transform(lengths, lambda n: _head(F.col("_key"), n))).alias("prefix"))
+    asked = asked.select("_key", F.explode_outer(F.transform(lengths, lambda n: _head(F.col("_key"), n))).alias("prefix"))
+    # Rows without a key find nothing wherever they go, so they are dealt out rather than left to one task.
+    spread = F.concat(F.lit("none "), F.pmod(F.xxhash64(*[c for c, kind in rows.dtypes if kind == "string"]), F.lit(4096)).cast("string"))
+    rows = rows.withColumn("_key", F.coalesce(ip_key(F.col(ip)), spread))
     found = asked.join(ranges.blocks, "prefix").groupBy("_key").agg(
         F.max_by(F.struct("geo_name", "geo_code"), F.length("prefix")).alias("_found"))
     found = found.withColumnRenamed("_key", "_of")
