@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import json
 from contextlib import contextmanager
+from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from tallystream.operators import geo
+from tallystream.plans.collect import collect_messages
+from tallystream.sources.requests import REQUEST_SCHEMA
 
 RANGE = "lo_ip string, hi_ip string, country struct<name string, iso_code string>, country_name string, country_code string"
 
@@ -52,3 +56,16 @@ def test_rows_without_an_address_are_not_one_task_s(spark):
     assert sorted((r.id, r.geo_name or "") for r in got) == [("x", "C1"), ("y", ""), ("z", "")]
 
 
+def test_no_request_is_judged_again_for_its_address(spark, tmp_path):
+    event = {"event_id": "1", "app_id": "a", "event_name": "n", "event_timestamp": "2026-03-20T18:42:15.123Z"}
+    bodies = [("ok", "60.1.0.5", [event]), ("refused", "60.1.0.9", [event, {}]), ("nowhere", None, [event])]
+    rows = [(i, datetime(2026, 3, 20), "k", None, ip, None, None, json.dumps({"events": e})) for i, ip, e in bodies]
+    spark.createDataFrame(rows, REQUEST_SCHEMA).write.parquet(f"{tmp_path}/requests")
+    requests = spark.read.schema(REQUEST_SCHEMA).parquet(f"{tmp_path}/requests")
+    keys = spark.createDataFrame([("k", "a")], "api_key string, app_id string")
+    messages = collect_messages(requests, keys, some_ranges(spark))
+    assert sum("FileScan" in line and "body#" in line for line in plan_of(messages).splitlines()) == 1
+    got = {r.request_id: json.loads(r.value)["geo"] for r in messages.collect()}
+    assert got == {"ok": {"country": "C1", "country_code": "CC"}, "nowhere": None}
+
+
