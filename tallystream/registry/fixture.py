@@ -328,12 +328,17 @@ def loaded_rollups(spark: SparkSession, sf_dir: str) -> dict[str, Rollup]:
     return named(_store(spark, sf_dir, "rollups", write))
 
 
+def file_share(spark: SparkSession, sf_dir: str, rows: int = 1_000_000) -> int:
+    """How many files an eighth of the log takes, one for every `rows` events of the table."""
+    return 1 + spark.read.parquet(f"{sf_dir}/events.parquet").count() // rows
+
+
 def message_files(spark: SparkSession, sf_dir: str) -> str:
-    """Log files for the streaming queries, split by time."""
+    """Log files for the streaming queries, split by time into eight parts of `file_share` files."""
 
     def write(path: str) -> None:
         rows = messages(spark, sf_dir)
-        rows.repartitionByRange(8, "published_at").sortWithinPartitions("published_at").write.json(path)
+        rows.repartitionByRange(8 * file_share(spark, sf_dir), "published_at").sortWithinPartitions("published_at").write.json(path)
 
     return _store(spark, sf_dir, "messages", write)
 

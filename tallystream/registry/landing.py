@@ -11,7 +11,7 @@ from tallystream.operators import flatten
 from tallystream.operators.dedupe import dedupe_window
 from tallystream.plans.landing import land_raw, partitioned_raw
 from tallystream.registry import register
-from tallystream.registry.fixture import MESSAGES_CTE, RAW_CTE, message_files, messages, raw_rows
+from tallystream.registry.fixture import MESSAGES_CTE, RAW_CTE, file_share, message_files, messages, raw_rows
 from tallystream.registry.loading import PLACED, RAW_TEXT
 from tallystream.session import scratch_path
 from tallystream.sources.requests import stream_events
@@ -76,7 +76,7 @@ select app_id, event_id, s as second from kept"""
 def _(spark, sf):
     """The log read as a stream, a few files per micro-batch."""
     root = scratch_path(spark, "stream_events")
-    stream = stream_events(spark, message_files(spark, sf), max_files_per_trigger=3)
+    stream = stream_events(spark, message_files(spark, sf), max_files_per_trigger=3 * file_share(spark, sf))
     (
         stream.writeStream.format("parquet").option("path", f"{root}/out")
         .option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
@@ -131,7 +131,7 @@ def _(spark, sf):
 def _(spark, sf):
     """The log landed by a stream in several micro-batches."""
     root = scratch_path(spark, "land_stream")
-    log = stream_events(spark, message_files(spark, sf), max_files_per_trigger=4)
+    log = stream_events(spark, message_files(spark, sf), max_files_per_trigger=4 * file_share(spark, sf))
     land_stream(log, f"{root}/raw", f"{root}/checkpoint", every_seconds=None).awaitTermination()
     return scan_raw(spark, f"{root}/raw")
 

@@ -69,7 +69,7 @@ def land_batch(
             else:
                 keys = [*RAW_PARTITIONS, "file"]
                 rows = numbered_files(rows, max_rows_per_file, max_bytes_per_file)
-                writer = rows.hint("rebalance", *keys).write.mode("overwrite").partitionBy(*keys)
+                writer = rows.write.mode("overwrite").partitionBy(*keys)
                 writer.options(compression="snappy", **folders.STAGED).parquet(staged)
             folders.remove(spark, flat)
         else:

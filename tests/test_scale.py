@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 
 from tallystream.operators import geo
 from tallystream.plans.collect import collect_messages
+from tallystream.plans.landing import numbered_files
+from tallystream.registry.fixture import file_share
 from tallystream.sources.requests import REQUEST_SCHEMA
 
 RANGE = "lo_ip string, hi_ip string, country struct<name string, iso_code string>, country_name string, country_code string"
@@ -69,3 +71,18 @@ def test_no_request_is_judged_again_for_its_address(spark, tmp_path):
     assert got == {"ok": {"country": "C1", "country_code": "CC"}, "nowhere": None}
 
 
+def test_numbered_files_go_to_as_many_tasks_as_their_bytes_ask_for(spark):
+    rows = spark.range(20_000).selectExpr(
+        "concat('app', id % 3) as app_id", "concat('2026-04-1', id % 1) as event_date", "concat('0', id % 1) as hour", "'S' as nats_stream",
+        "id as nats_sequence", "'e' as event_id", "10 as message_bytes")
+    files = numbered_files(rows, 100, 0, share_rows=500, task_bytes=20_000).withColumn("task", F.spark_partition_id())
+    assert files.rdd.getNumPartitions() == 10
+    found = files.groupBy("app_id", "file").agg(F.count("*").alias("n"), F.count_distinct("task").alias("tasks")).collect()
+    assert sum(f.n for f in found) == 20_000 and max(f.n for f in found) <= 100 and {f.tasks for f in found} == {1}
+    # One shuffle of whole rows: the numbers need none of their own.
+    assert plan_of(files).split("Initial Plan")[0].count("Exchange hashpartitioning(app_id") == 2  # sizes, rows
+
+
+def test_log_files_grow_in_number_with_the_table(spark, tmp_path):
+    spark.range(25).write.parquet(f"{tmp_path}/events.parquet")
+    assert [file_share(spark, str(tmp_path), rows) for rows in (10, 26)] == [3, 1]
