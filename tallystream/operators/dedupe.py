@@ -1,6 +1,6 @@
 """Three kinds of duplicate removal.
 
-distinct_rows   exact copies of a whole row
+distinct_rows   exact copies of a whole row (distinct_wide_rows: the same for wide rows with few copies)
 dedupe_latest   the latest version of an event
 dedupe_window   resends within a time window (batch form; see streaming.dedupe)
 """
@@ -23,6 +23,25 @@ def distinct_rows(rows: DataFrame) -> DataFrame:
     return rows.dropDuplicates()
 
 
+def distinct_wide_rows(rows: DataFrame, path: str, most: int = 1_000_000) -> DataFrame:
+    """The rows of `distinct_rows`, for wide rows of which few have copies.
+
+    Only digests meet in a shuffle. A row whose digest no other row has is no copy and stays where it is; the
+    others are compared whole. Digests found more than once are written to `path`; if they are more than `most`,
+    too many for every task to hold, all rows are compared whole. `rows` is read three times and has no
+    columns of floating numbers, whose zeros are equal with different digests.
+    """
+    spark, digest = rows.sparkSession, F.xxhash64(*rows.columns)
+    found = rows.select(digest.alias("_digest")).groupBy("_digest").agg(F.count("*").alias("_n"))
+    found.where("_n > 1").select("_digest").write.mode("overwrite").parquet(path)
+    repeated = spark.read.schema("_digest bigint").parquet(path)
+    if repeated.count() > most:
+        return distinct_rows(rows)
+    marked, repeated = rows.withColumn("_digest", digest), F.broadcast(repeated)
+    alone = marked.join(repeated, "_digest", "left_anti").select(*rows.columns)
+    return alone.unionByName(distinct_rows(marked.join(repeated, "_digest", "left_semi").select(*rows.columns)))
+
+
 def dedupe_latest(rows: DataFrame) -> DataFrame:
     """One row per (app_id, event_id): latest received, then sequence, time, request.
 

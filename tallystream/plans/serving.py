@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tallystream.functions.json_text import uint_or_zero
 from tallystream.functions.times import event_date_of, parse_best_effort_ms
-from tallystream.operators.dedupe import distinct_rows
+from tallystream.operators.dedupe import distinct_rows, distinct_wide_rows
 from tallystream.schemas import JSON_COLUMNS, RAW_COLUMNS, SERVING_COLUMNS, SERVING_SORT
 from tallystream.sources import folders, snapshots
 from tallystream.sources.stores import day_of, scan_raw_hour, scan_serving_folders
@@ -73,9 +73,16 @@ def serving_rows(raw: DataFrame) -> DataFrame:
     return serving_projection(distinct_rows(drop_unparseable_time(typed_times(raw))))
 
 
-def stored_rows(raw: DataFrame) -> DataFrame:
-    """Rows of the raw layer, with its partition columns -> rows as the table stores them."""
-    unique = distinct_rows(drop_unparseable_time(typed_times(raw)))
+def stored_rows(raw: DataFrame, scratch: str | None = None) -> DataFrame:
+    """Rows of the raw layer, with its partition columns -> rows as the table stores them.
+
+    For much of the layer, `scratch` is a folder for digests of copied rows, needed as long as the rows are: then
+    no whole row is shuffled to find copies, only to be written.
+    """
+    if scratch is None:
+        unique = distinct_rows(drop_unparseable_time(typed_times(raw)))
+    else:
+        unique = drop_unparseable_time(typed_times(distinct_wide_rows(raw, scratch)))
     unique = unique.withColumns({"load_hour": load_hour_key(), "row_hash": row_hash()}).drop("event_date")
     return serving_projection(unique, "load_hour", "row_hash")
 
@@ -205,7 +212,11 @@ def load_hour_key() -> Column:
 
 def load_serving(raw: DataFrame, root: str) -> None:
     """Load everything in `raw`."""
-    replace_hours(raw.sparkSession, root, stored_rows(raw), load_hours_of(raw))
+    spark, scratch = raw.sparkSession, f"{root}/_copies-{uuid.uuid4().hex}"
+    try:
+        replace_hours(spark, root, stored_rows(raw, scratch), load_hours_of(raw))
+    finally:
+        folders.remove(spark, scratch)
 
 
 def load_hour(spark: SparkSession, raw_root: str, serving_root: str, hour: datetime) -> bool:

@@ -3,16 +3,22 @@
 from __future__ import annotations
 
 import json
+import os
+from collections import Counter
 from contextlib import contextmanager
 from datetime import datetime
 
 from pyspark.sql import functions as F
 
 from tallystream.operators import geo
+from tallystream.operators.dedupe import distinct_rows, distinct_wide_rows
+from tallystream.plans import serving
 from tallystream.plans.collect import collect_messages
-from tallystream.plans.landing import numbered_files
+from tallystream.plans.landing import land_raw, numbered_files
 from tallystream.registry.fixture import file_share
 from tallystream.sources.requests import REQUEST_SCHEMA
+from tallystream.sources.stores import scan_raw, scan_serving
+from tests.test_layers import raw
 
 RANGE = "lo_ip string, hi_ip string, country struct<name string, iso_code string>, country_name string, country_code string"
 
@@ -71,6 +77,28 @@ def test_no_request_is_judged_again_for_its_address(spark, tmp_path):
     assert got == {"ok": {"country": "C1", "country_code": "CC"}, "nowhere": None}
 
 
+def test_distinct_wide_rows_equals_distinct_rows(spark, tmp_path):
+    rows = [("a", None, 1), (None, "a", 1), ("a", None, 1), ("b", "b", 2), (None, None, None), (None, None, None), ("c", "", 3), ("c", None, 3)]
+    table = spark.createDataFrame(rows, "x string, y string, n bigint")
+    want = Counter(distinct_rows(table).collect())
+    for most in (10, 0):
+        assert Counter(distinct_wide_rows(table, f"{tmp_path}/copies{most}", most).collect()) == want
+    # Whole rows meet only where their digest is repeated.
+    plan = plan_of(distinct_wide_rows(table, f"{tmp_path}/plan"))
+    assert plan.count("Exchange hashpartitioning(x") == 1 and plan.count("LeftAnti") >= 1 and plan.count("LeftSemi") >= 1
+
+
+def test_a_load_of_everything_compares_digests(spark, tmp_path, monkeypatch):
+    event = lambda n: {"event_id": str(n), "event_timestamp": f"2026-04-13T09:{n % 60:02d}:00Z"}
+    rows = [event(n) for n in range(50)] + [event(n) for n in range(0, 50, 10)] + [{"event_id": "x", "event_timestamp": "never"}]
+    land_raw(raw(spark, *rows), f"{tmp_path}/raw")
+    used = []
+    monkeypatch.setattr(serving, "distinct_wide_rows", lambda rows, path: used.append(path) or distinct_wide_rows(rows, path))
+    serving.load_serving(scan_raw(spark, f"{tmp_path}/raw"), f"{tmp_path}/table")
+    assert sorted(int(r.event_id) for r in scan_serving(spark, f"{tmp_path}/table").collect()) == list(range(50))
+    assert len(used) == 1 and not os.path.exists(used[0])
+
+
 def test_numbered_files_go_to_as_many_tasks_as_their_bytes_ask_for(spark):
     rows = spark.range(20_000).selectExpr(
         "concat('app', id % 3) as app_id", "concat('2026-04-1', id % 1) as event_date", "concat('0', id % 1) as hour", "'S' as nats_stream",
