@@ -11,7 +11,7 @@ from tallystream.operators import requests as ops
 from tallystream.plans.collect import collect_messages, messages_to_raw
 from tallystream.registry import register
 from tallystream.registry.fixture import RANGES, RAW_CTE, REQUESTS_CTE, duck, keys, ranges, raw_rows, requests
-from tallystream.session import scratch_path
+from tallystream.session import freed_shuffles, scratch_path
 from tallystream.sources.requests import read_requests
 from tallystream.sources.stores import scan_raw
 from tallystream.streaming.collect import collect_stream
@@ -279,13 +279,16 @@ def _(spark, sf):
 def _(spark, sf):
     """Requests that are sent again within the window and once more after it, streamed through to the raw layer."""
     root = scratch_path(spark, "collect_stream")
-    for part, times in enumerate((["0 minutes"], ["5 minutes", "1 hour"])):
-        for later in times:
-            sent = requests(spark, sf).withColumns({
-                "request_id": F.concat_ws(" after ", "request_id", F.lit(later)),
-                "received_at": F.col("received_at") + F.expr(f"interval {later}"),
-            })
-            sent.write.mode("append").json(f"{root}/log/part={part}")
+    for part, times in enumerate(([("0 minutes", 0)], [("5 minutes", 5), ("1 hour", 60)])):
+        later = F.array(*[F.struct(F.lit(text).alias("later"), F.lit(minutes).alias("minutes")) for text, minutes in times])
+        sent = requests(spark, sf).select("*", F.inline(later)).withColumns({
+            "request_id": F.concat_ws(" after ", "request_id", "later"),
+            "received_at": F.col("received_at") + F.make_dt_interval(F.lit(0), F.lit(0), F.col("minutes")),
+        }).drop("later", "minutes")
+        # The requests of a part are put together once, and packed: as plain text the log is most of what lies on disk.
+        # A packed file is one task's, so each has few requests.
+        with freed_shuffles(spark):
+            sent.write.option("maxRecordsPerFile", 1000).json(f"{root}/log/part={part}", compression="gzip")
         log = read_requests(spark, f"{root}/log/part=*", stream=True)
         collect_stream(
             log, keys(spark, sf), ranges(spark, sf), f"{root}/raw", f"{root}/state", f"{root}/checkpoint",

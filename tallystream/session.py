@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -26,6 +28,9 @@ SCALE_SETTINGS = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+# Shuffle files go when their query ends, rather than when the driver collects garbage.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _local_scratch: dict[str, str] = {}
 
 
@@ -45,6 +50,18 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+@contextmanager
+def freed_shuffles(spark: SparkSession) -> Iterator[None]:
+    """What is written in here leaves no shuffle files behind. For steps that run one after another, each of which
+    shuffles whole messages: without it the disk holds the shuffles of all of them."""
+    was = spark.conf.get(FREE_SHUFFLES, None)
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(FREE_SHUFFLES) if was is None else spark.conf.set(FREE_SHUFFLES, was)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Folder every executor can reach: the one named in spark.checkpoint.dir.
 

@@ -37,6 +37,22 @@ def recent_seconds(spark: SparkSession, root: str, number: int, slots: list[int]
     return rows.where(F.col("batch") < number).select(*keys, "kept_at")
 
 
+def marked_rows(rows: DataFrame, kept: DataFrame, row: str, path: str, most: int = 2_000_000) -> DataFrame:
+    """Those of `rows` whose number `row` is in `kept`, without a shuffle of whole rows.
+
+    Kept numbers become one bit each, 64 in a word, and the words are written to `path`. Up to `most` words (numbers that run
+    on give one for every 64 rows) go to all tasks; more than that are left to the planner.
+    """
+    spark, number = rows.sparkSession, F.col(row)
+    bit = F.expr(f"shiftleft(1L, cast(`{row}` & 63 as int))")
+    kept.groupBy(F.shiftright(number, 6).alias("_word")).agg(F.bit_or(bit).alias("_bits")).write.mode("overwrite").parquet(path)
+    words = spark.read.schema("_word bigint, _bits bigint").parquet(path)
+    if words.count() <= most:
+        words = F.broadcast(words)
+    marked = (F.shiftright(rows[row], 6) == words["_word"]) & (F.getbit(words["_bits"], rows[row].bitwiseAND(F.lit(63)).cast("int")) == 1)
+    return rows.join(words, marked, "left_semi")
+
+
 def dedupe_batch(
     batch: DataFrame,
     number: int,
@@ -46,8 +62,13 @@ def dedupe_batch(
     at: str = "published_at",
     order: tuple[str, ...] = ("sequence",),
     sink: Callable[[DataFrame, int], None] | None = None,
+    row: str | None = None,
 ) -> None:
-    """Micro-batch `number` of `dedupe_stream`. It reads `batch` twice."""
+    """Micro-batch `number` of `dedupe_stream`. It reads `batch` twice.
+
+    `row`, if given, is a column of whole numbers from 0 that no two rows share, the same whenever `batch` is read. Then kept/ holds
+    only what resends are found by, and the sink gets whole rows from `batch`, which are not shuffled.
+    """
     spark, second = batch.sparkSession, F.unix_timestamp(at)
     slot = lambda seconds: F.floor(seconds / SLOT_SECONDS)
     # One row per slot; the newest time is among them.
@@ -58,10 +79,11 @@ def dedupe_batch(
     slots = sorted({r.slot for r in span} or {-1, 0})
     recent = recent_seconds(spark, root, number, slots, keys)
     kept_path = f"{root}/kept/batch={number}"
-    dedupe_window(timed, window, keys, at, order, recent).write.mode("overwrite").parquet(kept_path)
-    kept = spark.read.schema(batch.schema).parquet(kept_path)
+    told_by = timed if row is None else timed.select(*dict.fromkeys([*keys, at, *order, row]))
+    dedupe_window(told_by, window, keys, at, order, recent).write.mode("overwrite").parquet(kept_path)
+    kept = spark.read.schema(told_by.schema).parquet(kept_path)
     if sink is not None:
-        sink(kept, number)
+        sink(kept if row is None else marked_rows(timed, kept, row, f"{root}/marks"), number)
         folders.remove(spark, f"{root}/kept/batch={number - 1}")
     seen = kept.select(*keys, second.alias("kept_at"), slot(second).alias("slot"), F.lit(number).alias("batch"))
     (

@@ -16,8 +16,11 @@ from tallystream.plans import serving
 from tallystream.plans.collect import collect_messages
 from tallystream.plans.landing import land_raw, numbered_files
 from tallystream.registry.fixture import file_share
-from tallystream.sources.requests import REQUEST_SCHEMA
+from tallystream.session import FREE_SHUFFLES, freed_shuffles
+from tallystream.sources.requests import REQUEST_SCHEMA, read_requests
 from tallystream.sources.stores import scan_raw, scan_serving
+from tallystream.streaming.collect import collect_stream
+from tallystream.streaming.dedupe import dedupe_batch, marked_rows
 from tests.test_layers import raw
 
 RANGE = "lo_ip string, hi_ip string, country struct<name string, iso_code string>, country_name string, country_code string"
@@ -114,3 +117,70 @@ def test_numbered_files_go_to_as_many_tasks_as_their_bytes_ask_for(spark):
 def test_log_files_grow_in_number_with_the_table(spark, tmp_path):
     spark.range(25).write.parquet(f"{tmp_path}/events.parquet")
     assert [file_share(spark, str(tmp_path), rows) for rows in (10, 26)] == [3, 1]
+
+
+def shuffle_files(spark):
+    env = spark._jvm.org.apache.spark.SparkEnv.get()
+    files = env.blockManager().diskBlockManager().getAllFiles()
+    return {n for i in range(files.size()) if (n := files.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_steps_that_write_leave_no_shuffle_files(spark, tmp_path):
+    rows = spark.range(1000).withColumn("x", F.col("id") % 7).repartition(5, "x")
+    before = shuffle_files(spark)
+    for step in range(2):  # the same rows may be written again
+        with freed_shuffles(spark):
+            rows.write.parquet(f"{tmp_path}/{step}")
+        assert not shuffle_files(spark) - before
+    assert spark.conf.get(FREE_SHUFFLES, "false") == "false"
+    rows.write.parquet(f"{tmp_path}/2")
+    assert shuffle_files(spark) - before
+    assert [spark.read.parquet(f"{tmp_path}/{step}").count() for step in range(3)] == [1000] * 3
+
+
+def test_resends_are_found_without_shuffling_whole_messages(spark, tmp_path):
+    at = lambda second: datetime(2024, 1, 1, 0, second // 60, second % 60)
+    rows = [("a", f"k{i % 90}", at(i), f"{i:04d}", f"body {i}", i * 3) for i in range(900)]
+    rows += [("a", None, None, "x", "no time", 5_000_000_063), ("a", None, at(0), "y", "first", 5_000_000_064)]
+    schema = "app_id string, event_id string, published_at timestamp, sequence string, body string, row bigint"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/sent")
+    got = {}
+    for row in (None, "row"):
+        for number, part in enumerate(("row < 900", "row >= 900")):
+            sent = spark.read.schema(schema).parquet(f"{tmp_path}/sent").where(part)
+            kept = []
+            dedupe_batch(sent, number, f"{tmp_path}/{row}", 300, sink=lambda k, n: kept.append((plan_of(k), sorted(k.collect(), key=lambda r: r.sequence))), row=row)
+            got[row, number] = kept[0][1]
+            if row:
+                assert "Exchange hashpartitioning" not in kept[0][0] and "body" not in spark.read.parquet(f"{tmp_path}/row/kept/batch={number}").columns
+    for number in (0, 1):
+        assert got["row", number] == got[None, number]
+    assert [r.body for r in got["row", 0]] == [f"body {i}" for i in range(90)]
+    # At 300 s every key comes again within a window of nothing kept; the message without a time is the newest.
+    assert len(got["row", 1]) == 90 * 2 + 2 and {r.body for r in got["row", 1]} >= {"first", "no time"}
+
+
+def test_marked_rows_of_more_words_than_tasks_may_hold(spark, tmp_path):
+    numbers = [0, 1, 62, 63, 64, 127, 128, (1 << 33) + 63, (1 << 33) + 64]
+    rows = spark.createDataFrame([(n, f"v{n}") for n in numbers] + [(None, "none")], "row bigint, value string")
+    kept = spark.createDataFrame([(n,) for n in numbers[::2]], "row bigint")
+    for most in (100, 1):
+        assert sorted(r.row for r in marked_rows(rows, kept, "row", f"{tmp_path}/{most}", most).collect()) == numbers[::2]
+
+
+def test_a_collector_s_batches_keep_what_is_no_resend_and_hold_messages_once(spark, tmp_path):
+    event = lambda n: {"event_id": str(n), "app_id": "a", "event_name": "n", "event_timestamp": "2026-03-20T18:42:15.123Z"}
+    keys = spark.createDataFrame([("k", "a")], "api_key string, app_id string")
+    before = shuffle_files(spark)
+    for part in range(2):
+        rows = [(f"r{part}-{minute}", datetime(2026, 3, 20, part, minute), "k", None, "60.1.0.5", None, None, json.dumps({"events": [event(n) for n in range(30)]}))
+                for minute in (0, 5, 20)]
+        rows += [(f"r{part}-none", None, "k", None, None, None, None, json.dumps({"events": [event(-1)]}))]
+        spark.createDataFrame(rows, REQUEST_SCHEMA).coalesce(2).write.mode("append").json(f"{tmp_path}/log")
+        collect_stream(read_requests(spark, f"{tmp_path}/log", stream=True), keys, some_ranges(spark, 20), f"{tmp_path}/raw", f"{tmp_path}/state",
+                       f"{tmp_path}/checkpoint", every_seconds=None).awaitTermination()
+    got = Counter(r.event_id for r in scan_raw(spark, f"{tmp_path}/raw").collect())
+    assert got == {str(n): 2 if n < 0 else 4 for n in range(-1, 30)}
+    assert "value" not in spark.read.parquet(f"{tmp_path}/state/kept").columns
+    # Only the networks, cut before the stream, shuffle outside its steps.
+    assert len(shuffle_files(spark) - before) < 40
