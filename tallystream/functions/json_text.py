@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 NEEDS_ESCAPE = r"[^\x00-\x7F]|\\u"
 # double backslash | unicode escape | one non-ASCII character | ASCII run | lone backslash
 JSON_TEXT_PIECES = r"\\\\|\\u[0-9A-Fa-f]{4}|[^\x00-\x7F]|[\x00-\x5B\x5D-\x7F]+|\\"
+OBJECT_START = r"^\s*\{"
 INTEGER_TEXT = r"^\s*[+-]?\d+(_\d+)*\s*$"
 # --- end of fixed values ----------------------------------------------------------
 
@@ -18,6 +19,14 @@ def kind(variant: Column, path: str = "$") -> Column:
     return F.schema_of_variant(F.try_variant_get(variant, path, "variant"))
 
 
+def is_object(text: Column) -> Column:
+    """Whether a text is a JSON object. What begins like one needs no more than to be JSON; spelling
+    out its kind would cost more than reading it."""
+    parsed = F.try_parse_json(text)
+    like_one = F.when(text.rlike(OBJECT_START), parsed.isNotNull()).otherwise(kind(parsed).startswith("OBJECT"))
+    return F.coalesce(like_one, F.lit(False))
+
+
 def ascii_json(text: Column) -> Column:
     """The same JSON with every non-ASCII character as a lower-case \\uXXXX escape.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallystream.functions.json_text import compact_json, int_or_zero, kind
+from tallystream.functions.json_text import compact_json, int_or_zero, is_object, kind
 from tallystream.functions.times import partition_date, partition_hour, partition_instant
 from tallystream.schemas import CONTEXTS, RAW_COLUMNS
 
@@ -18,7 +18,7 @@ _TOP = [
 
 def decodable(value: Column) -> Column:
     """True for a JSON object; such messages can become rows."""
-    return F.coalesce(kind(F.try_parse_json(value)).startswith("OBJECT"), F.lit(False))
+    return is_object(value)
 
 
 def undecodable_split(messages: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -158,3 +158,12 @@ def test_identity(evaluate):
 def test_more_best_effort_times(evaluate, text, day_time):
     shown = lambda c: F.date_format(times.parse_best_effort_ms(c), "yyyy-MM-dd HH:mm:ss.SSS")
     assert evaluate([text], shown) == [day_time]
+
+
+def test_an_object_is_told_as_by_its_kind(evaluate):
+    texts = [None, "", "{", "{}", " {}", '\t\r\n{"a":1}', "\x0b{}", "{}x", "{} {}", "[]", "[{}]", '"{}"', "null", "5", '{"a":}', "{'a':1}",
+             '{"a":1,}', "\xa0{}", "\ufeff{}", '{"a":{"b":[1,null]}}']
+    by_kind = evaluate(texts, lambda v: F.coalesce(json_text.kind(F.try_parse_json(v)).startswith("OBJECT"), F.lit(False)))
+    assert evaluate(texts, json_text.is_object) == by_kind
+    # Spark's reader stops at the end of the first value.
+    assert [t for t, found in zip(texts, by_kind, strict=True) if found] == ["{}", " {}", '\t\r\n{"a":1}', "{}x", "{} {}", '{"a":{"b":[1,null]}}']
